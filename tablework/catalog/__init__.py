@@ -1,6 +1,6 @@
 """Every registered query, by key."""
 
-from tablework.catalog import base, crm  # noqa: F401
+from tablework.catalog import base, crm, retail  # noqa: F401
 
 
 def queries():

@@ -31,7 +31,9 @@ CAPTION_LABEL = "Caption:"
 
 # A Unicode noncharacter, so it cannot occur in interchanged text.
 _MARK = "\ufdd0"
-_BREAK_CLASS = "[" + "".join("\\" + ch for ch in WORD_BREAKS) + UNICODE_BLANKS + "]"
+# The blanks, but for the space, as ranges: one test for many characters keeps the match cheap.
+_BLANK_RANGES = r"\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BREAK_CLASS = "[" + _BLANK_RANGES + "".join("\\" + ch for ch in WORD_BREAKS) + "]"
 
 
 def trim_text(c: Column) -> Column:
@@ -52,10 +54,12 @@ def initcap_words(c: Column) -> Column:
     """Capitalise after any word break, punctuation included.
 
     Spark's initcap only splits on spaces, so each other break is followed by
-    a marked space for the duration of the call.
+    a marked space for the duration of the call. Text without such a break,
+    which is most text, skips the two regular expressions.
     """
     marked = F.regexp_replace(c, "(" + _BREAK_CLASS + ")", "$1" + _MARK + " ")
-    return F.regexp_replace(F.initcap(marked), _MARK + " ", "")
+    return F.when(~c.rlike(_BREAK_CLASS), F.initcap(c)).otherwise(
+        F.regexp_replace(F.initcap(marked), _MARK + " ", ""))
 
 
 def currency_to_numeric(c: Column) -> Column:

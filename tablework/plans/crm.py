@@ -43,9 +43,15 @@ def _stage(raw_stage):
 
 
 def clean_companies(raw: DataFrame) -> DataFrame:
-    """One row per company, typed and tidied, from the newest delivery."""
-    typed = raw.select(
-        text.blank_to_null(F.col("company_id")).alias("company_id"),
+    """One row per company, typed and tidied, from the newest delivery.
+
+    The newest delivery is chosen on the raw rows; only its text is cleaned.
+    """
+    keyed = raw.withColumn("company_id", text.blank_to_null(F.col("company_id")))
+    current = latest_version(keyed.filter(F.col("company_id").isNotNull()), ["company_id"],
+                             ["_file_date", "_loaded_at"])
+    return current.select(
+        "company_id",
         F.nullif(text.collapse_spaces(F.col("company_name")), F.lit("")).alias("company_name"),
         text.blank_to_null(F.col("industry")).alias("industry"),
         text.blank_to_null(F.col("employee_band")).alias("employee_band"),
@@ -53,14 +59,22 @@ def clean_companies(raw: DataFrame) -> DataFrame:
         text.initcap_words(text.blank_to_null(F.col("account_owner"))).alias("account_owner"),
         text.safe_date(F.col("created_date")).alias("created_date"),
         *METADATA)
-    return latest_version(typed.filter(F.col("company_id").isNotNull()), ["company_id"],
-                          ["_file_date", "_loaded_at"])
 
 
 def clean_deals(raw: DataFrame) -> DataFrame:
-    """One row per deal: the version updated last, ties to the newest file."""
-    typed = raw.select(
-        text.blank_to_null(F.col("deal_id")).alias("deal_id"),
+    """One row per deal: the version updated last, ties to the newest file.
+
+    A deal is in every daily file, so the version is chosen on the raw rows and
+    only that one is cleaned.
+    """
+    keyed = raw.withColumns({
+        "deal_id": text.blank_to_null(F.col("deal_id")),
+        "last_updated_at": text.safe_utc_timestamp(F.col("last_updated_at")),
+    })
+    current = latest_version(keyed.filter(F.col("deal_id").isNotNull()), ["deal_id"],
+                             ["last_updated_at", "_file_date", "_loaded_at"])
+    typed = current.select(
+        "deal_id",
         text.blank_to_null(F.col("company_id")).alias("company_id"),
         text.blank_to_null(F.col("deal_name")).alias("deal_name"),
         text.initcap_words(text.blank_to_null(F.col("plan"))).alias("plan"),
@@ -69,11 +83,8 @@ def clean_deals(raw: DataFrame) -> DataFrame:
         text.initcap_words(text.blank_to_null(F.col("owner"))).alias("owner"),
         text.safe_date(F.col("created_date")).alias("created_date"),
         text.safe_date(F.col("expected_close_date")).alias("expected_close_date"),
-        text.safe_utc_timestamp(F.col("last_updated_at")).alias("last_updated_at"),
-        *METADATA)
-    current = latest_version(typed.filter(F.col("deal_id").isNotNull()), ["deal_id"],
-                             ["last_updated_at", "_file_date", "_loaded_at"])
-    return current.select(
+        "last_updated_at", *METADATA)
+    return typed.select(
         "*",
         F.col("stage").isin("Closed Won", "Closed Lost").alias("is_closed"),
         (F.col("stage") == "Closed Won").alias("is_won"),
