@@ -1,6 +1,6 @@
 """Every registered query, by key."""
 
-from tablework.catalog import base, crm, metrics, retail  # noqa: F401
+from tablework.catalog import base, crm, ingest, metrics, replicate, retail, schedule, text  # noqa: F401
 
 
 def queries():

@@ -8,6 +8,14 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def instant(moment: dt.datetime) -> Column:
+    """A timestamp literal; a datetime without a zone is taken as UTC.
+
+    A plain literal would go through the zone of the machine the driver is on.
+    """
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc))
+
+
 def _zone(tz: str | Column) -> Column:
     return tz if isinstance(tz, Column) else F.lit(tz)
 

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablework.functions.clock import instant
+
 FRESHNESS_HOURS = 36
 
 
@@ -26,7 +28,7 @@ def count_checks(df: DataFrame, checks: Mapping[str, tuple[str, Column]]) -> Dat
 def stale_data(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Newest load older than 36 hours. No rows at all is not stale."""
     limit = as_of - dt.timedelta(hours=FRESHNESS_HOURS)
-    stale = F.when(F.max("_loaded_at") < F.lit(limit).cast("timestamp"), 1).otherwise(0)
+    stale = F.when(F.max("_loaded_at") < instant(limit), 1).otherwise(0)
     return raw.agg(stale.cast("bigint").alias("failing_rows")).select(
         F.lit("stale_data").alias("check_name"), F.lit("block").alias("severity"), "failing_rows")
 

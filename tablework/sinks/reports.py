@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablework.functions.clock import utc_stamp
+from tablework.functions.clock import instant, utc_stamp
 from tablework.operators.quality import failing_checks, require_publishable
 from tablework.plans.crm import REPORT_ORDER, ordered_report
 
@@ -39,7 +39,7 @@ def status_rows(quality: DataFrame, raw: DataFrame, as_of: dt.datetime) -> DataF
     """Refresh time, newest source file by name, and one line per failing check."""
     spark = raw.sparkSession
     refreshed = spark.range(1).select(F.lit("Last refreshed").alias("item"),
-                                      utc_stamp(F.lit(as_of).cast("timestamp")).alias("value"))
+                                      utc_stamp(instant(as_of)).alias("value"))
     newest = raw.agg(F.coalesce(F.max("_source_file"), F.lit("")).alias("value")).select(
         F.lit("Source file").alias("item"), "value")
     warnings = failing_checks(quality).select(F.concat(F.lit("Warning: "), "check_name").alias("item"),

@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.functions.clock import instant
+
 ORDERS_AS_OF = dt.date(2001, 8, 2)
 INVENTORY_AS_OF = dt.date(2001, 12, 1)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
@@ -57,7 +59,7 @@ def orders(spark: SparkSession, sf_dir: str, with_item_count: bool = False) -> D
     """One row per order. Counting the lines costs a shuffle, so it is asked for."""
     key = F.col("o_orderkey")
     created = plus(F.col("o_orderdate"), "HOUR", (key * 7) % 24)
-    status = (F.when(F.col("o_orderdate") > F.lit(OPEN_SINCE).cast("timestamp"),
+    status = (F.when(F.col("o_orderdate") > instant(OPEN_SINCE),
                      F.when(key % 2 == 0, "Processing").otherwise("Shipped"))
               .when(F.col("o_orderpriority") == "5-LOW", "Cancelled")
               .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Returned")
@@ -150,7 +152,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    start = F.lit(dt.datetime(1994, 1, 1)).cast("timestamp")
+    start = instant(dt.datetime(1994, 1, 1))
     return (table(spark, sf_dir, "customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
