@@ -10,6 +10,7 @@ from tablework.catalog.base import query
 from tablework.operators import quality
 from tablework.operators.versions import latest_version
 from tablework.plans import crm
+from tablework.session import work_path
 from tablework.sinks import reports
 from tablework.sources import crm_drops
 
@@ -189,9 +190,11 @@ def _(spark, sf_dir):
     return reports.report_cells(layers(spark, sf_dir).reports()["forecast_by_month"])
 
 
-@query("publish_reports")
+@query("publish_reports", sql.with_ctes(*sql.CRM, body=f"""
+SELECT 'pipeline_by_stage' AS report, count(*) AS n_rows FROM ({STAGE_REPORT})
+UNION ALL SELECT 'rep_scorecard', count(*) FROM ({REP_SCORECARD})
+UNION ALL SELECT 'forecast_by_month', count(*) FROM ({FORECAST})"""))
 def _(spark, sf_dir):
-    from tablework.session import work_path
     views = layers(spark, sf_dir)
     # The export holds unknown companies on purpose, so only warnings gate here.
     warnings = _quality(spark, sf_dir).filter("severity = 'warn'")

@@ -84,4 +84,4 @@ def _(spark, sf_dir):
     for now in (RERUN_AT, RERUN_AT + dt.timedelta(hours=1)):
         schedule.run_daily_job(spark, JOB, now, log,
                                lambda day: schedule.load_daily_sales(items, path, day, JOB.tz))
-    return spark.read.schema(schedule.DAILY_SALES_SCHEMA).parquet(path)
+    return spark.read.schema(schedule.DAILY_SALES_SCHEMA).parquet(path).drop("sales_month")
