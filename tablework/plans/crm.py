@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablework.functions import text
 from tablework.functions.numbers import rounded_mean, safe_ratio
 from tablework.operators.versions import latest_version
+from tablework.session import work_path
 
 COMPANY_COLUMNS = ("company_id", "company_name", "industry", "employee_band", "country",
                    "account_owner", "created_date")
@@ -234,6 +235,21 @@ class SalesLayers:
             "forecast_by_month": forecast_by_month(slim, self.as_of),
         }
 
+    def reports_from(self, pipeline: DataFrame) -> dict[str, DataFrame]:
+        """The reports over one live view, for a view that is already written."""
+        return {
+            "pipeline_by_stage": pipeline_by_stage(pipeline),
+            "rep_scorecard": rep_scorecard(pipeline),
+            "forecast_by_month": forecast_by_month(pipeline, self.as_of),
+        }
+
+    def written_pipeline(self) -> DataFrame:
+        """The live view, written once to the shared folder for several readers."""
+        spark = self.raw_deals.sparkSession
+        path, view = work_path(spark, "live-deals"), self.pipeline
+        view.write.parquet(path)
+        return spark.read.schema(view.schema).parquet(path)
+
     def register(self) -> list[str]:
         """Register the views in dependency order; production reads only live."""
         spark = self.raw_deals.sparkSession

@@ -54,8 +54,8 @@ def with_load_metadata(rows: DataFrame, object_name, source, loaded_at: dt.datet
 
 
 def load_files(spark: SparkSession, files: DataFrame, warehouse: str, batch_id: str,
-               loaded_at: dt.datetime) -> DataFrame:
-    """Load one batch of files and return its outcomes, one row per file.
+               loaded_at: dt.datetime) -> list[str]:
+    """Load one batch of files and log an outcome for each; returns their paths.
 
     ``files`` is bounded by the caller. Records are parsed once, into a staged
     table; verdicts and rows both come from it, so they agree even if a file
@@ -65,48 +65,52 @@ def load_files(spark: SparkSession, files: DataFrame, warehouse: str, batch_id:
     chosen = not_yet_loaded(files.filter(F.col("target_table").isNotNull()), read_load_log(spark, warehouse))
     entries = chosen.select("path", "object_name", "generation", "target_table").collect()
     outcomes = None
-    for table in csv_drop.EXPECTED_COLUMNS:
+    for table, columns in csv_drop.EXPECTED_COLUMNS.items():
         named = [e for e in entries if e["target_table"] == table]
         if not named:
             continue
         staged = work_path(spark, f"parsed-{table}")
-        csv_drop.parse_files(spark, [e["path"] for e in named], csv_drop.EXPECTED_COLUMNS[table]).write.parquet(staged)
-        rows = spark.read.parquet(staged)
-        # One row per file of the batch on either side.
-        listed = spark.createDataFrame([tuple(e) for e in named],
-                                       "path string, object_name string, generation string, target_table string")
-        verdicts = csv_drop.file_verdicts(rows, table).join(F.broadcast(listed), "path")
+        csv_drop.parse_files(spark, [e["path"] for e in named], columns).write.parquet(staged)
+        texts = ", ".join(f"`{c}` string" for c in columns)
+        rows = spark.read.schema(f"{texts}, _malformed string, path string, _line bigint").parquet(staged)
+        # One row per file of the batch, used twice: kept rather than computed again.
+        found = {v["path"]: v for v in csv_drop.file_verdicts(rows, table).collect()}
+        verdicts = spark.createDataFrame(
+            [(*e, *[found[e["path"]][c] for c in ("_header_line", "status", "row_count", "message")])
+             for e in named if e["path"] in found],
+            "path string, object_name string, generation string, target_table string, _header_line bigint, "
+            "status string, row_count bigint, message string")
         good = verdicts.filter(F.col("status") == "loaded").select("path", "object_name", "_header_line")
-        data = (rows.join(F.broadcast(good), "path").filter(F.col("_line") != F.col("_header_line")))
+        data = rows.join(F.broadcast(good), "path").filter(F.col("_line") != F.col("_header_line"))
         loaded = with_load_metadata(data, F.col("object_name"), F.col("path"), loaded_at).select(
-            *csv_drop.EXPECTED_COLUMNS[table], "_source_file", "_file_date", "_loaded_at", "_load_date")
+            *columns, "_source_file", "_file_date", "_loaded_at", "_load_date")
         (spread_by(loaded, "_load_date").write.mode("overwrite").partitionBy("_load_date")
          .parquet(f"{warehouse}/raw/{table}/_batch_id={batch_id}"))
         part = verdicts.select(F.col("path").alias("source_file"), "generation", "target_table", "row_count",
                                "status", "message", instant(loaded_at).alias("loaded_at"),
                                F.lit(batch_id).alias("_batch_id"))
         outcomes = part if outcomes is None else outcomes.unionByName(part)
-    if outcomes is None:
-        return spark.createDataFrame([], LOAD_LOG_SCHEMA)
-    outcomes.write.mode("append").parquet(f"{warehouse}/load_log")
-    return read_load_log(spark, warehouse).filter(F.col("_batch_id") == batch_id)
+    if outcomes is not None:
+        outcomes.write.mode("append").parquet(f"{warehouse}/load_log")
+    return [e["path"] for e in entries]
 
 
 def load_drop(spark: SparkSession, root: str, warehouse: str, loaded_at: dt.datetime, run_id: str,
               files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Load every new file under ``root``, in batches by path; also files written again."""
+    """Load every new file under ``root``, in batches by path; also files written again.
+
+    Returns the outcomes of this run, one row per file.
+    """
     last = ""
     step = 0
     while True:
-        batch = (not_yet_loaded(csv_drop.list_files(spark, root), read_load_log(spark, warehouse))
-                 .filter(F.col("target_table").isNotNull() & (F.col("path") > last))
-                 .orderBy("path").limit(files_per_batch))
-        names = batch.agg(F.max("path").alias("last"), F.count("*").alias("n")).first()
-        if not names["n"]:
-            break
-        load_files(spark, batch, warehouse, f"{run_id}-{step}", loaded_at)
-        last, step = names["last"], step + 1
-    return read_load_log(spark, warehouse).filter(F.col("_batch_id").startswith(f"{run_id}-"))
+        files = csv_drop.list_files(spark, root)
+        pending = not_yet_loaded(files.filter(F.col("target_table").isNotNull()), read_load_log(spark, warehouse))
+        batch = pending.filter(F.col("path") > last).orderBy("path").limit(files_per_batch)
+        handled = load_files(spark, batch, warehouse, f"{run_id}-{step}", loaded_at)
+        if len(handled) < files_per_batch:
+            return read_load_log(spark, warehouse).filter(F.col("_batch_id").startswith(f"{run_id}-"))
+        last, step = max(handled), step + 1
 
 
 def file_outcomes(load_log: DataFrame) -> DataFrame:

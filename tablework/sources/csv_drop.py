@@ -41,11 +41,10 @@ def file_columns(files: DataFrame, root: str) -> DataFrame:
 
     A file written again under the same name has another generation.
     """
-    folder = root.split(":", 1)[-1] if root.startswith("file:") else root
-    folder = "/" + folder.strip("/") + "/" if root.startswith(("file:", "/")) else root.rstrip("/") + "/"
-    name_from = F.instr(F.col("path"), F.lit(folder)) + len(folder)
-    named = files.select("path", F.expr("substring(path, 1)").alias("_path"), "modificationTime", "length")
-    named = named.withColumn("object_name", F.substr(F.col("_path"), name_from))
+    folder = root.removeprefix("file:").rstrip("/") + "/"
+    folder = "/" + folder.lstrip("/") if root.startswith(("file:", "/")) else folder
+    named = files.withColumn("object_name", F.substr(
+        F.col("path"), F.instr(F.col("path"), F.lit(folder)) + F.lit(len(folder))))
     return named.select(
         "path", "object_name",
         F.concat(F.unix_micros("modificationTime").cast("string"), F.lit("-"), F.col("length").cast("string"))
@@ -79,9 +78,10 @@ def parse_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str
 def header_cells(columns: Sequence[str]) -> Column:
     """The record's cells as a header: no byte-order mark, trimmed, lower case."""
     cells = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in columns])
-    cells = F.when(F.col("_malformed").isNotNull(), F.split(F.replace(F.col("_malformed"), F.lit('"'), F.lit("")), ","))\
-        .otherwise(cells)
-    return F.transform(cells, lambda c: F.lower(F.trim(F.regexp_replace(c, "^﻿|[\r\n\t]", ""))))
+    # A record with another number of cells is kept whole as text.
+    whole = F.split(F.replace(F.col("_malformed"), F.lit('"'), F.lit("")), ",")
+    cells = F.when(F.col("_malformed").isNotNull(), whole).otherwise(cells)
+    return F.transform(cells, lambda c: F.lower(F.trim(F.regexp_replace(c, "^\\ufeff|[\r\n\t]", ""))))
 
 
 def file_verdicts(rows: DataFrame, table: str) -> DataFrame:
@@ -91,10 +91,14 @@ def file_verdicts(rows: DataFrame, table: str) -> DataFrame:
     malformed record.
     """
     expected = EXPECTED_COLUMNS[table]
-    first = F.min_by(F.struct(header_cells(expected).alias("cells")), "_line")
-    per_file = rows.groupBy("path").agg(
-        first["cells"].alias("header"), F.min("_line").alias("_header_line"),
-        F.count("*").alias("records"), F.count("_malformed").alias("malformed"))
+    counted = rows.groupBy("path").agg(F.min("_line").alias("_header_line"), F.count("*").alias("records"),
+                                       F.count("_malformed").alias("malformed"))
+    # The header record of each file, found by its line. The counts are one
+    # row per file of a bounded batch.
+    first = counted.withColumnRenamed("_header_line", "_line")
+    per_file = rows.join(F.broadcast(first), ["path", "_line"]).select(
+        "path", F.col("_line").alias("_header_line"), "records", "malformed",
+        header_cells(expected).alias("header"))
     want = F.array(*[F.lit(c) for c in expected])
     header_ok = F.col("header") == want
     show = lambda cells: F.concat(F.lit("["), F.array_join(cells, ", "), F.lit("]"))

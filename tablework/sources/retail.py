@@ -85,17 +85,14 @@ def orders(spark: SparkSession, sf_dir: str, with_item_count: bool = False) -> D
 
 
 def _line_id() -> Column:
-    """A digest of the whole line: lines have no unique key, but no two are equal.
+    """A 128-bit digest of the whole line: lines have no unique key, but no two are equal.
 
     It is a narrow expression, where numbering the lines of an order would pull
     each order into one task.
     """
-    cents = [F.col(c).cast("decimal(12,2)").cast("string")
-             for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
-    return F.md5(F.concat_ws("|", *[F.col(c).cast("string")
-                                    for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-                             *cents, F.to_date("l_shipdate").cast("string"),
-                             F.col("l_returnflag"), F.col("l_linestatus")))
+    line = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
+    return F.concat(F.hex(F.xxhash64(*line)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *line)))
 
 
 def _sale_price() -> Column:
