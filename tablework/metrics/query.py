@@ -126,11 +126,17 @@ class TopicQuery:
         source = self.frames[view]()
         df = source.select(*[F.col(c).alias(_source(view, c)) for c in source.columns])
         for child, hop in self.hops.items():
-            if hop.parent == view and child in needed:
-                below = self.rows(child, needed, owner)
-                if hop.grain == "one_to_many" and self.below_a_many(owner) != child:
-                    below = self.distinct_values(below, hop)
-                on = F.col(_source(view, hop.parent_field)) == F.col(_source(child, hop.child_field))
+            if hop.parent != view or child not in needed:
+                continue
+            below = self.rows(child, needed, owner)
+            on = F.col(_source(view, hop.parent_field)) == F.col(_source(child, hop.child_field))
+            if hop.grain == "one_to_many" and self.below_a_many(owner) == child:
+                # Rows without a match have no measure of this view, and an
+                # inner join lets Spark split a hot key on the many side.
+                df = df.join(below, on, "inner")
+            elif hop.grain == "one_to_many":
+                df = df.join(self.distinct_values(below, hop), on, "left")
+            else:
                 df = df.join(below, on, "left")
         return df
 
@@ -201,11 +207,15 @@ class TopicQuery:
                 carrier = _Part(many or self.topic.base)
                 parts.append(carrier)
             carrier.summed += names
+        if self.dims and all(self.below_a_many(p.owner) for p in parts):
+            parts.append(_Part(self.topic.base))  # groups that have no row of a joined view
         return parts
 
     def grouped(self, part: _Part) -> DataFrame:
         df = self.joined(part)
         dims = [output_name(n) for n in self.dims]
+        if part.key is None and not part.summed:
+            return df.select(*dims).distinct()
         if part.key is None:
             return df.groupBy(*dims).agg(*self.sums(part.summed))
         distinct = [n for n in part.keyed if self.model.field_of(n).kind == "count_distinct"]

@@ -205,7 +205,8 @@ def retail_frames(tables: dict[str, Callable[[], DataFrame]], as_of: dt.date) ->
     """The base tables and the three views that are built from them."""
     return {
         **tables,
-        "date_spine": lambda: date_spine(tables["orders"](), as_of),
+        # One row per calendar day up to a date, so its size has a bound.
+        "date_spine": lambda: F.broadcast(date_spine(tables["orders"](), as_of)),
         "order_status_snapshot": lambda: order_status_snapshot(tables["orders"](), as_of),
         "repeat_campaign": lambda: repeat_campaign(tables["orders"](), tables["order_items"](), as_of),
     }

@@ -33,10 +33,18 @@ def last_orders(orders: DataFrame) -> DataFrame:
     return customer_rollup(orders).select("user_id", "last.*")
 
 
+def order_values(items: DataFrame) -> DataFrame:
+    """Value of each order.
+
+    Lines are summed per order before any join: what moves is one partial sum
+    per order and task, however many lines an order has.
+    """
+    return items.groupBy("order_id").agg(F.sum("sale_price").alias("order_value"))
+
+
 def last_order_values(items: DataFrame, last: DataFrame) -> DataFrame:
-    """Value of each customer's last order; only lines of those orders count."""
-    return (items.join(last.select("order_id"), "order_id", "left_semi")
-            .groupBy("order_id").agg(F.sum("sale_price").alias("order_value")))
+    """Value of each customer's last order."""
+    return order_values(items).join(last.select("order_id"), "order_id", "left_semi")
 
 
 def repeat_campaign(orders: DataFrame, items: DataFrame, as_of: dt.date) -> DataFrame:
@@ -53,10 +61,7 @@ def repeat_campaign(orders: DataFrame, items: DataFrame, as_of: dt.date) -> Data
                         F.col("last.delivered_at").alias("last_delivered_at"),
                         F.datediff(F.lit(as_of), delivered).alias("days_since_delivery"),
                         "lifetime_orders", "lifetime_returns"))
-    # Lines are summed per order before the join: what moves is one partial sum
-    # per order and task, however many lines an order has.
-    values = items.groupBy("order_id").agg(F.sum("sale_price").alias("order_value"))
-    return eligible.join(values, "order_id", "left").select(
+    return eligible.join(order_values(items), "order_id", "left").select(
         "user_id", F.col("order_id").alias("last_order_id"), "last_ordered_at", "last_delivered_at",
         "days_since_delivery", F.col("order_value").cast("decimal(18,2)").alias("last_order_value"),
         "lifetime_orders", "lifetime_returns")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions import text
 from tablework.functions.numbers import rounded_mean, safe_ratio
+from tablework.operators.joins import lookup
 from tablework.operators.versions import latest_version
 from tablework.session import work_path
 
@@ -117,8 +118,8 @@ def deal_pipeline(deals: DataFrame, as_of: dt.date, companies: DataFrame | None
         entered = history.select("deal_id", "stage", F.col("first_seen_date").alias("stage_entered_date"))
         df = df.join(entered, ["deal_id", "stage"], "left")
     if companies is not None:
-        df = df.join(companies.select("company_id", "company_name", "industry", "employee_band", "country_code"),
-                     "company_id", "left")
+        df = lookup(df, companies.select("company_id", "company_name", "industry", "employee_band", "country_code"),
+                    ["company_id"])
     df = df.join(rules, F.col("stage") == F.col("rule_stage"), "left")
 
     company_columns = ["company_name", "industry", "employee_band", "country_code"] if companies is not None else []

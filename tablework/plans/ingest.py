@@ -74,10 +74,11 @@ def load_files(spark: SparkSession, files: DataFrame, warehouse: str, batch_id:
         texts = ", ".join(f"`{c}` string" for c in columns)
         rows = spark.read.schema(f"{texts}, _malformed string, path string, _line bigint").parquet(staged)
         # One row per file of the batch, used twice: kept rather than computed again.
-        found = {v["path"]: v for v in csv_drop.file_verdicts(rows, table).collect()}
+        found = {v["path"]: (v["_header_line"], v["status"], v["row_count"], v["message"])
+                 for v in csv_drop.file_verdicts(rows, table).collect()}
+        empty = (None, "rejected", None, csv_drop.no_header(table))
         verdicts = spark.createDataFrame(
-            [(*e, *[found[e["path"]][c] for c in ("_header_line", "status", "row_count", "message")])
-             for e in named if e["path"] in found],
+            [(*e, *found.get(e["path"], empty)) for e in named],
             "path string, object_name string, generation string, target_table string, _header_line bigint, "
             "status string, row_count bigint, message string")
         good = verdicts.filter(F.col("status") == "loaded").select("path", "object_name", "_header_line")

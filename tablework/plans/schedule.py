@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.functions.clock import instant, local_date, next_run_utc, scheduled_at
+from tablework.operators.joins import lookup
 from tablework.operators.versions import latest_version
 from tablework.plans.replicate import read_table
 from tablework.plans.sales import daily_sales, daily_sales_of
@@ -49,7 +50,7 @@ def run_guard(triggers: DataFrame, run_log: DataFrame) -> DataFrame:
         "next_run_utc": next_run_utc(now, F.col("run_time"), tz)})
     busy = (current_runs(run_log).filter(F.col("status").isin(*DONE_OR_BUSY))
             .select("job_name", F.col("run_date").alias("local_date"), F.lit(True).alias("ran")))
-    seen = timed.join(busy, ["job_name", "local_date"], "left").withColumn("already_ran", F.col("ran").isNotNull())
+    seen = lookup(timed, busy, ["job_name", "local_date"]).withColumn("already_ran", F.col("ran").isNotNull())
     window_end = F.timestamp_add("MINUTE", F.col("catch_up_minutes").cast("int"), F.col("scheduled_at"))
     runs = (now >= F.col("scheduled_at")) & (now < window_end) & ~F.col("already_ran")
     return seen.select(*triggers.columns, F.when(runs, "run").otherwise("skip").alias("decision"),

@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Settings the results depend on. Both can change on a running session."""
+    """Settings of a running session: two for the results, one for skew."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    # Split a hot join key also where that costs one more shuffle. Without it,
+    # two joins on one key in a row would leave the key in one task.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

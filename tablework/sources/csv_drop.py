@@ -59,6 +59,11 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return file_columns(found, root)
 
 
+def file_path() -> Column:
+    """The file of a row, spelled as a file listing spells it. A plus sign is no blank here."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def parse_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Every record as text, the header record included.
 
@@ -71,7 +76,7 @@ def parse_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed")
             .csv(list(paths))
-            .select(*columns, "_malformed", F.col("_metadata.file_path").alias("path"),
+            .select(*columns, "_malformed", file_path().alias("path"),
                     F.monotonically_increasing_id().alias("_line")))
 
 
@@ -84,6 +89,15 @@ def header_cells(columns: Sequence[str]) -> Column:
     return F.transform(cells, lambda c: F.lower(F.trim(F.regexp_replace(c, "^\\ufeff|[\r\n\t]", ""))))
 
 
+def _mismatch(table: str) -> tuple[str, str]:
+    return f"header mismatch for {table}: got [", f"], expected [{', '.join(EXPECTED_COLUMNS[table])}]"
+
+
+def no_header(table: str) -> str:
+    """The reason for a file without a single record."""
+    return "".join(_mismatch(table))
+
+
 def file_verdicts(rows: DataFrame, table: str) -> DataFrame:
     """One row per file: loaded with a row count, or rejected with the reason.
 
@@ -101,9 +115,8 @@ def file_verdicts(rows: DataFrame, table: str) -> DataFrame:
         header_cells(expected).alias("header"))
     want = F.array(*[F.lit(c) for c in expected])
     header_ok = F.col("header") == want
-    show = lambda cells: F.concat(F.lit("["), F.array_join(cells, ", "), F.lit("]"))
-    problem = (F.when(~header_ok, F.concat(F.lit(f"header mismatch for {table}: got "), show(F.col("header")),
-                                           F.lit(", expected "), show(want)))
+    got = F.array_join("header", ", ")
+    problem = (F.when(~header_ok, F.concat(F.lit(_mismatch(table)[0]), got, F.lit(_mismatch(table)[1])))
                .when(F.col("malformed") > 0, F.concat(F.col("malformed").cast("string"),
                                                       F.lit(" malformed records"))))
     return per_file.select(
@@ -118,4 +131,4 @@ def csv_drop(spark: SparkSession, paths: Sequence[str], table: str) -> DataFrame
     schema = ", ".join(f"`{c}` string" for c in columns)
     return (spark.read.schema(schema).option("header", "true").option("multiLine", "true").option("escape", '"')
             .option("mode", "FAILFAST").csv(list(paths))
-            .select(*columns, F.col("_metadata.file_path").alias("_source_file")))
+            .select(*columns, file_path().alias("_source_file")))
