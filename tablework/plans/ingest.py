@@ -54,23 +54,24 @@ def with_load_metadata(rows: DataFrame, object_name, source, loaded_at: dt.datet
 
 
 def load_files(spark: SparkSession, files: DataFrame, warehouse: str, batch_id: str,
-               loaded_at: dt.datetime) -> list[str]:
+               loaded_at: dt.datetime, cut_above: int = csv_drop.CUT_ABOVE_BYTES) -> list[str]:
     """Load one batch of files and log an outcome for each; returns their paths.
 
-    ``files`` is bounded by the caller. Records are parsed once, into a staged
+    ``files`` is bounded by the caller and comes from ``file_columns``. Records are parsed once, into a staged
     table; verdicts and rows both come from it, so they agree even if a file
     changes meanwhile. Rows are written before the log. The batch has a folder
     of its own, which a replay of the batch replaces.
     """
     chosen = not_yet_loaded(files.filter(F.col("target_table").isNotNull()), read_load_log(spark, warehouse))
-    entries = chosen.select("path", "object_name", "generation", "target_table").collect()
+    entries = chosen.select("path", "object_name", "generation", "target_table", "length").collect()
     outcomes = None
     for table, columns in csv_drop.EXPECTED_COLUMNS.items():
         named = [e for e in entries if e["target_table"] == table]
         if not named:
             continue
         staged = work_path(spark, f"parsed-{table}")
-        csv_drop.parse_files(spark, [e["path"] for e in named], columns).write.parquet(staged)
+        sizes = {e["path"]: e["length"] for e in named}
+        csv_drop.parse_drop(spark, sizes, columns, cut_above).write.parquet(staged)
         texts = ", ".join(f"`{c}` string" for c in columns)
         rows = spark.read.schema(f"{texts}, _malformed string, path string, _line bigint").parquet(staged)
         # One row per file of the batch, used twice: kept rather than computed again.
@@ -78,11 +79,11 @@ def load_files(spark: SparkSession, files: DataFrame, warehouse: str, batch_id:
                  for v in csv_drop.file_verdicts(rows, table).collect()}
         empty = (None, "rejected", None, csv_drop.no_header(table))
         verdicts = spark.createDataFrame(
-            [(*e, *found.get(e["path"], empty)) for e in named],
+            [(*e[:4], *found.get(e["path"], empty)) for e in named],
             "path string, object_name string, generation string, target_table string, _header_line bigint, "
             "status string, row_count bigint, message string")
         good = verdicts.filter(F.col("status") == "loaded").select("path", "object_name", "_header_line")
-        data = rows.join(F.broadcast(good), "path").filter(F.col("_line") != F.col("_header_line"))
+        data = rows.join(F.broadcast(good), "path").filter(~F.col("_line").eqNullSafe(F.col("_header_line")))
         loaded = with_load_metadata(data, F.col("object_name"), F.col("path"), loaded_at).select(
             *columns, "_source_file", "_file_date", "_loaded_at", "_load_date")
         (spread_by(loaded, "_load_date").write.mode("overwrite").partitionBy("_load_date")

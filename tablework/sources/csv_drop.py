@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,9 @@ EXPECTED_COLUMNS = {"companies": COMPANY_COLUMNS, "deals": DEAL_COLUMNS}
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 MAX_MESSAGE = 1000
 
+# Files above this size are worth cutting; it is the size of one scan task.
+CUT_ABOVE_BYTES = 128 * 1024 * 1024
+
 
 def route(object_name: Column) -> Column:
     """Target table of ``incoming/<table>/<file>.csv``; anything else -> NULL.
@@ -49,7 +52,7 @@ def file_columns(files: DataFrame, root: str) -> DataFrame:
         "path", "object_name",
         F.concat(F.unix_micros("modificationTime").cast("string"), F.lit("-"), F.col("length").cast("string"))
         .alias("generation"),
-        route(F.col("object_name")).alias("target_table"))
+        route(F.col("object_name")).alias("target_table"), "length")
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -64,20 +67,52 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def parse_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def files_with_open_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files that must be read whole: a line may leave a quote open, or be blank.
+
+    When every line of a file has an even number of quotes, no record goes past
+    its line, and the file may be cut at any line.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    blank = (F.trim(line) == "") & (line != "")
+    return (spark.read.text(list(paths)).filter((quotes % 2 == 1) | blank)
+            .select(file_path().alias("path")).distinct())
+
+
+def parse_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
+                whole_files: bool = True) -> DataFrame:
     """Every record as text, the header record included.
 
-    ``_line`` rises within a file. Quoted line breaks are allowed, so Spark
-    reads a file in one task; files are the unit of parallelism.
+    Quoted line breaks need a file in one task. Without any, ``whole_files``
+    may be off, and Spark cuts large files. ``_line`` rises within the first
+    cut of a file, which holds the header, and is NULL in others.
     """
     schema = ", ".join(f"`{c}` string" for c in columns) + ", _malformed string"
+    in_first_cut = F.col("_metadata.file_block_start") == 0
     return (spark.read.schema(schema)
-            .option("header", "false").option("multiLine", "true").option("escape", '"')
+            .option("header", "false").option("multiLine", str(whole_files).lower()).option("escape", '"')
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed")
             .csv(list(paths))
             .select(*columns, "_malformed", file_path().alias("path"),
-                    F.monotonically_increasing_id().alias("_line")))
+                    F.when(in_first_cut, F.monotonically_increasing_id()).alias("_line")))
+
+
+def parse_drop(spark: SparkSession, sizes: Mapping[str, int], columns: Sequence[str],
+               cut_above: int = CUT_ABOVE_BYTES) -> DataFrame:
+    """Records of many files; a large file is read in cuts where that is exact.
+
+    ``sizes`` maps each path of a bounded batch to its length. Only large files
+    are looked at for open lines, as a small one is one task either way.
+    """
+    large = [p for p, size in sizes.items() if size > cut_above]
+    open_lines = {r["path"] for r in files_with_open_lines(spark, large).collect()} if large else set()
+    cut = [p for p in large if p not in open_lines]
+    whole = [p for p in sizes if p not in cut]
+    parts = ([parse_files(spark, whole, columns)] if whole else []) + (
+        [parse_files(spark, cut, columns, whole_files=False)] if cut else [])
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def header_cells(columns: Sequence[str]) -> Column:
