@@ -7,6 +7,7 @@ Each measure still counts every row of its own view once. How:
 - A measure of a view joined many to one is computed from one row per group
   and key of that view. Measures of the base ride along as partial sums, so
   both come from one pass over the joined rows.
+  If nothing else needs that view, it is joined after that grouping.
 - A distinct count groups by the counted value in the same way.
 - A view joined one to many is joined in full only for its own measures. For
   everything else it is cut down to the distinct values the query needs, so
@@ -211,13 +212,21 @@ class TopicQuery:
             parts.append(_Part(self.topic.base))  # groups that have no row of a joined view
         return parts
 
+    def joins_late(self, part: _Part) -> bool:
+        """Whether the owner's columns matter only after its key is grouped by."""
+        hop = self.hops.get(part.owner)
+        before = _Part(hop.parent, summed=part.summed) if hop else None
+        return (hop is not None and hop.grain == "many_to_one" and part.owner not in self.needed_views(before)
+                and all(self.model.field_of(n).kind != "count_distinct" for n in part.keyed))
+
     def grouped(self, part: _Part) -> DataFrame:
-        df = self.joined(part)
         dims = [output_name(n) for n in self.dims]
-        if part.key is None and not part.summed:
-            return df.select(*dims).distinct()
         if part.key is None:
-            return df.groupBy(*dims).agg(*self.sums(part.summed))
+            df = self.joined(part)
+            return df.groupBy(*dims).agg(*self.sums(part.summed)) if part.summed else df.select(*dims).distinct()
+        if self.joins_late(part):
+            return self.grouped_by_reference(part, dims)
+        df = self.joined(part)
         distinct = [n for n in part.keyed if self.model.field_of(n).kind == "count_distinct"]
         once = [n for n in part.keyed if n not in distinct]
         # Values that depend on the key are grouped by, which keeps the grouping a hash one.
@@ -233,6 +242,21 @@ class TopicQuery:
         final += self.resums(part.summed)
         return per_key.groupBy(*dims).agg(*final)
 
+    def grouped_by_reference(self, part: _Part, dims: list[str]) -> DataFrame:
+        """Group by the column that refers to the owner, then join the owner.
+
+        The join then moves one row per group and reference, not every row.
+        """
+        hop = self.hops[part.owner]
+        df = self.joined(_Part(hop.parent, summed=part.summed))
+        keys = [*dims, F.col(_source(hop.parent, hop.parent_field)).alias("_reference")]
+        partial = self.sums(part.summed)
+        per_key = df.groupBy(*keys).agg(*partial) if partial else df.select(*keys).distinct()
+        owner = self.rows(part.owner, {part.owner}, part.owner)
+        joined = per_key.join(owner, F.col("_reference") == F.col(_source(part.owner, hop.child_field)), "left")
+        final = [c for n in part.keyed for c in self.aggregates(n, self.value(n))]
+        return joined.groupBy(*dims).agg(*final, *self.resums(part.summed))
+
     def aggregates(self, name: str, value: Column) -> list[Column]:
         out, kind = output_name(name), self.model.field_of(name).kind
         if kind == "count":
