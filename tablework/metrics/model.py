@@ -92,6 +92,7 @@ class View:
     primary_key: str
     dimensions: tuple[Dimension, ...]
     measures: tuple[Measure, ...] = ()
+    bounded_by: str | None = None  # date dimension by which the view's rows can be made from a first day on
 
     def dimension(self, name: str) -> Dimension | None:
         return next((d for d in self.dimensions if d.name == name), None)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tablework.functions.clock import timeframe
 from tablework.metrics.model import AccessDenied, Dimension, Filter, Hop, Measure, Model, Topic, UnknownField
 
-Frames = Mapping[str, Callable[[], DataFrame]]
+Frames = Mapping[str, Callable[..., DataFrame]]
 
 
 def output_name(field_name: str) -> str:
@@ -122,9 +122,18 @@ class TopicQuery:
                 wanted.add(name)
         return wanted
 
+    def source(self, view: str) -> DataFrame:
+        """The view's own rows. A generated view starts at the first day asked for."""
+        bound = self.model.views[view].bounded_by
+        for f in self.filters:
+            if (bound and view == self.topic.base and f.field == f"{view}.{bound}"
+                    and f.kind == "time_for_duration" and f.value[0] == "days"):
+                return self.frames[view](first_day=self.as_of - dt.timedelta(days=f.value[1]))
+        return self.frames[view]()
+
     def rows(self, view: str, needed: set[str], owner: str) -> DataFrame:
         """The view's rows with everything needed below it joined on."""
-        source = self.frames[view]()
+        source = self.source(view)
         df = source.select(*[F.col(c).alias(_source(view, c)) for c in source.columns])
         for child, hop in self.hops.items():
             if hop.parent != view or child not in needed:

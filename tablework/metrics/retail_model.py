@@ -164,7 +164,7 @@ def retail_model(as_of: dt.date) -> Model:
             count("order_count"), count("open_order_count", is_("is_open_on_date", True)),
             count("stuck_in_processing_count", is_("status_on_date", "Processing"),
                   Filter("order_age_days", "greater_than", 7)),
-        )),
+        ), bounded_by="snapshot_date"),
     )
     relationships = (
         Relationship("order_items", "orders", "order_id", "order_id"),
@@ -207,6 +207,6 @@ def retail_frames(tables: dict[str, Callable[[], DataFrame]], as_of: dt.date) ->
         **tables,
         # One row per calendar day up to a date, so its size has a bound.
         "date_spine": lambda: F.broadcast(date_spine(tables["orders"](), as_of)),
-        "order_status_snapshot": lambda: order_status_snapshot(tables["orders"](), as_of),
+        "order_status_snapshot": lambda first_day=None: order_status_snapshot(tables["orders"](), as_of, first_day),
         "repeat_campaign": lambda: repeat_campaign(tables["orders"](), tables["order_items"](), as_of),
     }

@@ -110,6 +110,15 @@ def test_buckets_put_missing_values_last(spark, model):
     assert [r.b for r in df.select(band.alias("b")).collect()] == ["18-24", "18-24", "25-34", "50-64", "65+", "65+"]
 
 
+def test_snapshot_is_only_made_for_the_days_asked_for(ask):
+    fields = "order_status_snapshot.snapshot_date order_status_snapshot.order_count"
+    ninety = ask("order_status", fields, default_filters=True)
+    first = AS_OF - dt.timedelta(days=90)
+    assert f"{first}) AS first_day" in ninety._jdf.queryExecution().executedPlan().toString()
+    everything = {r[0]: r[1] for r in ask("order_status", fields).collect()}
+    assert {r[0]: r[1] for r in ninety.collect()} == {d: n for d, n in everything.items() if d >= first}
+
+
 def test_no_rows_still_gives_a_row_of_zero(ask):
     nothing = Filter("order_items.sale_price", "greater_than", 10 ** 9)
     row = ask("orders", "order_items.count orders.count order_items.net_revenue orders.return_rate",
