@@ -1,7 +1,7 @@
 """Every query of the subpackage, by key."""
 
 from tablework.llm import registry
-from tablework.llm import (query_substring_dedup)  # noqa: F401
+from tablework.llm import query_jaccard_join, query_substring_dedup  # noqa: F401
 
 
 def queries():
