@@ -1,7 +1,8 @@
 """Every query of the subpackage, by key."""
 
 from tablework.llm import registry
-from tablework.llm import query_jaccard_join, query_substring_dedup  # noqa: F401
+from tablework.llm import (  # noqa: F401
+    query_chat_format, query_decontaminate, query_jaccard_join, query_line_dedup, query_substring_dedup)
 
 
 def queries():
