@@ -14,7 +14,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+def stage(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write a table to the folder that all executors share, and read it back.
 
     Later steps then do not depend on shuffle files of lost executors, and
@@ -22,7 +22,7 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
