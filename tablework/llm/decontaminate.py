@@ -79,6 +79,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     words but are not listed; items may repeat. Repeated document rows get one
     row each, a null doc_id is kept, and other columns are not looked at.
     """
+    return _judged(docs, benchmark).select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                                           "items", (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, with all their columns, of which no word is hit (see ``find_contamination``)."""
+    hit = _judged(docs, benchmark).where("n_hit > 0").select(*_KEY).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key_columns("doc_id", "text"))
+    return rows.join(hit, list(_KEY), "left_anti").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, key_a, key_b, n_words, n_hit, items for every document row."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words"))
     short = [r[0] for r in items.where(F.size("words").between(1, WINDOW - 1)).select(
         F.size("words")).distinct().collect()]  # nine values at most
@@ -114,11 +127,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     covered = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["stop"] - 1))))
     none = F.array().cast("array<string>")
     return rows.drop("grams").join(found, list(_KEY), "left").select(
-        F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"), "doc_id", "n_words",
+        F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"), "doc_id", *_KEY, "n_words",
         F.coalesce(F.size(covered), F.lit(0)).cast("bigint").alias("n_hit"),
-        F.array_sort(F.coalesce("items", none)).alias("items")).select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items",
-        (F.col("n_hit") > 0).alias("contaminated"))
+        F.array_sort(F.coalesce("items", none)).alias("items")).drop("copy")
 
 
 def _spans(docs: DataFrame, index: DataFrame, sizes: list[int]) -> DataFrame:

@@ -81,6 +81,27 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     smallest unless no other is there; repeated rows get one row each. Other
     columns are not looked at.
     """
+    return _placed(docs, size, percent).select("doc_id", F.col("n").alias("n_shingles"), F.when(
+        F.col("n") > 0, F.col("chosen.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The documents, with all their columns, that stay when each component keeps one.
+
+    The one with the smallest doc_id stays; of equal ids, and where all are
+    null, the one with the smallest key. Documents without words stay. Rows
+    with equal doc_id and text count as one document; one of them stays.
+    """
+    stay = _placed(docs, size, percent).where(
+        (F.col("n") == 0) | ((F.col("key_a") == F.col("chosen.key_a")) & (F.col("key_b") == F.col("chosen.key_b")))
+    ).select("key_a", "key_b").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key_columns("doc_id", "text"))
+    kept = rows.join(stay, ["key_a", "key_b"], "left_semi").groupBy("key_a", "key_b").agg(F.first("row").alias("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _placed(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, key_a, key_b, n and ``chosen(unknown, doc_id, key_a, key_b, chunk)``, the row that stands for the component."""
     spark = docs.sparkSession
     bytes_in = text_bytes(docs)
     chunks, buckets = parts(spark, bytes_in), parts(spark, bytes_in, 2 * BLOCK_BYTES)
@@ -100,18 +121,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     summary = stage(keyed.mapInArrow(summarise, _SUMMARY), "summary")
     classes = stage(summary.where("n > 0").groupBy("set_a", "set_b", "n").agg(
-        F.min(F.struct("chunk", "key_a", "key_b")).alias("rep"), F.min("doc_id").alias("least_id"))
-        .select("set_a", "set_b", "n", "rep.*", "least_id"), "classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key_a", "key_b", "chunk")).alias("least"))
+        .select("set_a", "set_b", "n", "least.chunk", "least.key_a", "least"), "classes")
     labels = _labels(_records(keyed, classes, size, percent, buckets), percent)
     node = F.concat(F.hex("set_a"), F.lit("."), F.hex("set_b")).alias("node")
-    placed = lookup(classes.select(node, "set_a", "set_b", "least_id"), labels, ["node"]).withColumn(
+    placed = lookup(classes.select(node, "set_a", "set_b", "least"), labels, ["node"]).withColumn(
         "label", F.coalesce("label", "node"))
-    least = placed.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    members = lookup(placed, least, ["label"]).select("set_a", "set_b", "component_id")
+    chosen = placed.groupBy("label").agg(F.min("least").alias("chosen"))
+    members = lookup(placed, chosen, ["label"]).select("set_a", "set_b", "chosen")
     # Documents without words share one key there, and get no partner.
-    return lookup(summary, members, ["set_a", "set_b"]).select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return lookup(summary, members, ["set_a", "set_b"]).select("doc_id", "key_a", "key_b", "n", "chosen")
 
 
 def _records(keyed: DataFrame, classes: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablework.llm.hashing import block_of, cut
@@ -20,6 +20,8 @@ from tablework.llm.tables import key_columns
 #: About so many documents of each language are fitted on.
 SAMPLE_PER_LANGUAGE = 400
 MAX_LANGUAGES = 500
+#: A document whose family and language are both nearly a tie scores less.
+MIN_SCORE = 0.3
 UNKNOWN = "und"
 DIMENSIONS = 4096
 _BATCH_BYTES, _BATCH_TEXTS = 2 << 20, 256
@@ -138,6 +140,11 @@ def _blocks(batch):
             yield table.slice(begin, _BATCH_TEXTS)
 
 
+def held_out() -> Column:
+    """A quarter of the documents, by id, kept from fitting; a null id is never held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Hierarchy | None:
     """Learn from ``docs(text, lang)``; None when no document has both a language and letters.
 
@@ -192,3 +199,11 @@ def identify(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
     schema = f"row {whole.schema['row'].dataType.simpleString()}, lang_pred string, score double"
     out = whole.mapInArrow(predict, schema)
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, model: Hierarchy | None, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents, with all their columns, whose language is known with a score of ``min_score`` or more."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = identify(docs.select(row, "text"), model)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(
+        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

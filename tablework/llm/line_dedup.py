@@ -36,11 +36,11 @@ def chunks_of(text: Column) -> Column:
         return F.concat(F.array(F.lit(-1)), inner, F.array(F.size(h) - 1))
 
     def cut(lines: Column) -> Column:
-        return let(ends(F.transform(lines, line_hash)), lambda e: F.transform(
+        return let(F.transform(lines, line_hash), lambda h: let(ends(h), lambda e: F.transform(
             up_to(F.size(e) - 1), lambda i: F.array_join(
-                F.slice(lines, F.get(e, i) + 2, F.get(e, i + 1) - F.get(e, i)), "\n")))
+                F.slice(lines, F.get(e, i) + 2, F.get(e, i + 1) - F.get(e, i)), "\n"))))
 
-    return let(F.split(F.coalesce(text, F.lit("")), "\n"), lambda lines: let(lines, cut))
+    return let(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
 
 
 def _multi_line(chunk: Column) -> Column:

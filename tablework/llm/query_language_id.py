@@ -1,18 +1,10 @@
 """Query of the language identification; checked by its accuracy on held-out documents."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tablework.llm.language_id import fit, identify
+from tablework.llm.language_id import fit, held_out, identify
 from tablework.llm.registry import query
 from tablework.llm.tables import read
 
 
-def held_out() -> Column:
-    """A quarter of the documents, by id; a null id is never held out."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-
-
 @query("op7_language_id")
 def op7_language_id(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")

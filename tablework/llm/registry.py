@@ -16,14 +16,17 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def with_workers(spark: SparkSession) -> SparkSession:
+    """Pin the session, and let Python workers import this package also where it is not on their path."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return pin_session(spark)
+
+
 def query(name: str, oracle: str | None = None):
     """Register ``(spark, sf_dir) -> DataFrame`` under a key."""
     def add(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Python workers import this package; a session that was not started
-            # with it on their path gets it from here.
-            spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-            return build(pin_session(spark), sf_dir)
+            return build(with_workers(spark), sf_dir)
 
         QUERIES[name] = run
         if oracle is not None:
