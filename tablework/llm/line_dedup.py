@@ -45,7 +45,7 @@ def chunks_of(text: Column) -> Column:
 
 def _multi_line(chunk: Column) -> Column:
     """Two lines or more that hold something besides blanks."""
-    return F.regexp_like(chunk, F.lit(r"[^\x20\x09-\x0D][^\n]*\n(?s:.*)[^\x20\x09-\x0D]"))
+    return F.contains(F.btrim(chunk, F.lit(" \t\n\x0b\x0c\r")), F.lit("\n"))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
