@@ -139,6 +139,7 @@ class Lattice:
     start: np.ndarray
     text: np.ndarray
     first: np.ndarray
+    origin: np.ndarray
     target: np.ndarray
     piece: np.ndarray
     share: np.ndarray
@@ -205,7 +206,8 @@ class Lattice:
         ranked = np.argsort(origin, kind="stable")
         origin, target, piece, weight = (x[ranked] for x in (origin, target, piece, weight))
         share = np.exp(weight + mass[target] - mass[origin])
-        return cls(begin, text, np.searchsorted(origin, np.arange(n + 1)), target, piece, share, np.cumsum(share))
+        return cls(begin, text, np.searchsorted(origin, np.arange(n + 1)), origin, target, piece, share,
+                   np.cumsum(share))
 
     def draw(self, nodes: np.ndarray, ends: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Random paths from ``nodes`` to ``ends``: all edges in a row, and where each path's edges begin."""
@@ -215,8 +217,13 @@ class Lattice:
         while len(going):
             lo, hi = self.first[at], self.first[at + 1]
             base = np.where(lo > 0, self.upto[lo - 1], 0.0)
-            u = uniform(seeds[going], step)
-            edge = np.clip(np.searchsorted(self.upto, base + u * (self.upto[hi - 1] - base), side="right"), lo, hi - 1)
+            goal = base + uniform(seeds[going], step) * (self.upto[hi - 1] - base)
+            edge = lo.copy()
+            open_ = np.flatnonzero((self.upto[edge] <= goal) & (edge < hi - 1))
+            while len(open_):  # nodes have few edges
+                edge[open_] += 1
+                here = edge[open_]
+                open_ = open_[(self.upto[here] <= goal[open_]) & (here < hi[open_] - 1)]
             rows.append(going)
             edges.append(edge)
             at, step = self.target[edge], step + 1

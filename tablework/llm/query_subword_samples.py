@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tablework.llm.registry import query
-from tablework.llm.subword_samples import decode_samples, encode_samples
+from tablework.llm.subword_samples import encode_samples
 from tablework.llm.tables import read
 
 MODEL = "piece_bpe_32k.model"
@@ -13,7 +13,6 @@ MODEL = "piece_bpe_32k.model"
 @query("op5_subword_samples")
 def op5_subword_samples(spark, sf_dir):
     model = public_tokenizers.path(MODEL)
-    samples = encode_samples(read(spark, sf_dir, "documents"), model)
-    return decode_samples(samples, model).select(
+    return encode_samples(read(spark, sf_dir, "documents"), model, decoded=True).select(
         "doc_id", "rank", "n_tokens", F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion",
         F.sha2("text", 256).alias("text_sha256"))

@@ -22,20 +22,21 @@ from tablework.llm.lattice import Lattice, Pieces, pieces, split, uniform
 from tablework.llm.tables import key_columns
 
 SAMPLES = 2
-_BLOCK = 2 << 20
+_BLOCK = 5 << 18
 _SCHEMA = "doc_id bigint, rank int, ids binary, n_tokens bigint, log_prob double, perturbed double, inclusion double"
 _NAMES = ["doc_id", "rank", "ids", "n_tokens", "log_prob", "perturbed", "inclusion"]
 U64 = np.uint64
 
 
-def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES) -> DataFrame:
+def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES, decoded: bool = False) -> DataFrame:
     """Up to ``samples`` distinct segmentations of each whole text, best perturbed value first.
 
     One row per document row and rank: doc_id, rank (from 1), ids
     (little-endian unsigned 32-bit), n_tokens, log_prob under the lattice,
     perturbed (the Gumbel value) and inclusion (the chance, given the value of
     the next segmentation, that this one is among those taken; 1 when there is
-    no next). Texts with fewer segmentations give fewer rows; null and empty
+    no next). With ``decoded``, ``text`` is what ``decode_samples`` makes of the ids,
+    in the same pass. Texts with fewer segmentations give fewer rows; null and empty
     texts give one row without ids. Rows with equal doc_id and text get equal
     samples. ``model`` must be readable under the same name by every executor.
     Other columns are not looked at.
@@ -45,11 +46,22 @@ def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES) -> DataF
         for batch in batches:
             for table in cut(pa.Table.from_batches([batch]), "text", _BLOCK):
                 rows = _sample_block(vocabulary, table, samples)
-                yield from pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))],
-                    names=_NAMES).to_batches()
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (
+                    pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
+                names = _NAMES
+                if decoded:
+                    columns, names = [*columns, _texts(vocabulary, columns[2].to_pylist())], [*_NAMES, "text"]
+                yield from pa.table(columns, names=names).to_batches()
 
-    return docs.select("doc_id", key_columns("doc_id", "text")[0], "text").mapInArrow(sample, _SCHEMA)
+    return docs.select("doc_id", key_columns("doc_id", "text")[0], "text").mapInArrow(
+        sample, _SCHEMA + (", text string" if decoded else ""))
+
+
+def _texts(vocabulary: Pieces, blobs: list[bytes | None]) -> pa.Array:
+    first = np.concatenate([[0], np.cumsum([len(b or b"") // 4 for b in blobs])])
+    ids = np.frombuffer(b"".join(b or b"" for b in blobs), "<u4").astype(np.int64)
+    return pa.array([None if b is None else t.decode("utf-8", "replace")
+                     for b, t in zip(blobs, vocabulary.decode(ids, first))], pa.string())
 
 
 def decode_samples(samples: DataFrame, model: str) -> DataFrame:
@@ -64,12 +76,8 @@ def decode_samples(samples: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
-                blobs = [x.as_py() for x in part.column("ids")]
-                first = np.concatenate([[0], np.cumsum([len(b or b"") // 4 for b in blobs])])
-                ids = np.frombuffer(b"".join(b or b"" for b in blobs), "<u4").astype(np.int64)
-                texts = [None if b is None else t.decode("utf-8", "replace")
-                         for b, t in zip(blobs, vocabulary.decode(ids, first))]
-                yield pa.record_batch([part.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+                texts = _texts(vocabulary, part.column("ids").to_pylist())
+                yield pa.record_batch([part.column("row"), texts], names=["row", "text"])
 
     whole = samples.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "ids")
     out = whole.mapInArrow(decode, f"row {whole.schema['row'].dataType.simpleString()}, text string")
@@ -156,6 +164,9 @@ class _Walk:
         self.seeds = mix(keys[owner] + mix(place.astype(np.uint64) + U64(1)))
         self.keys = keys
         self.log_share = np.log(np.maximum(lattice.share, 1e-300))
+        with np.errstate(divide="ignore"):
+            self.log_rest = np.log(np.maximum(1.0 - lattice.share, 0.0))
+        self.alone = np.diff(lattice.first)[lattice.origin] == 1
         self.string_of = np.searchsorted(lattice.start, np.arange(lattice.start[-1]), side="right") - 1
 
     def take(self, start: dict, texts: list[_Text], rank: int, most: int) -> None:
@@ -177,24 +188,15 @@ class _Walk:
             known = len(edges) - len(fresh)
             logs = self.log_share[edges]
             before = np.concatenate([[0.0], np.cumsum(logs)])
-            with np.errstate(divide="ignore"):
-                rest = np.log(np.maximum(1.0 - self.lattice.share[edges[known:]], 0.0))
+            rest = self.log_rest[edges[known:]]
             # An edge without a sibling leaves nothing, whatever rounding says.
-            alone = self._siblings(edges[known:]) == 1
-            mass = np.where(alone, -np.inf, before[known:-1] + rest)
+            mass = np.where(self.alone[edges[known:]], -np.inf, before[known:-1] + rest)
             at = np.arange(known, len(edges))
             u = uniform(mix(self.keys[d] + mix(at.astype(np.uint64) + U64((rank + 1) << 40))), 1)
             text = texts[d]
             text.offer(len(text.paths), at, _gumbel_below(mass, value, u), mass, most)
             text.paths.append((edges, value, float(before[-1])))
 
-    def _origin(self, edges: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.lattice.first, edges, side="right") - 1
-
-    def _siblings(self, edges: np.ndarray) -> np.ndarray:
-        origin = self._origin(edges)
-        return self.lattice.first[origin + 1] - self.lattice.first[origin]
-
     def leave(self, text: _Text, d: int, rank: int):
         """Where the next path of a text leaves an earlier one; None when every segmentation is taken."""
         if not text.heap:
@@ -202,7 +204,7 @@ class _Walk:
         value, path, at, mass = heapq.heappop(text.heap)
         value = -value
         edges = text.paths[path][0]
-        origin = int(self._origin(edges[at:at + 1])[0])
+        origin = int(self.lattice.origin[edges[at]])
         lo, hi = int(self.lattice.first[origin]), int(self.lattice.first[origin + 1])
         used = text.taken.setdefault((path, at), {int(edges[at])})
         free = np.array([e for e in range(lo, hi) if e not in used])
@@ -230,7 +232,7 @@ class _Walk:
         """A function from edges to ids, with a character without a piece as the ids of its bytes."""
         lattice = self.lattice
         bare = np.flatnonzero(lattice.piece < 0)
-        origin = self._origin(bare)
+        origin = lattice.origin[bare]
         spelled = {int(e): self.spell(int(o), int(lattice.target[e])) for e, o in zip(bare, origin)}
 
         def ids(edges: np.ndarray) -> np.ndarray:
