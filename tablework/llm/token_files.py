@@ -22,7 +22,8 @@ from tablework.llm.tables import BLOCK_BYTES, parts, stage, text_bytes
 
 END_ID = 1
 MAX_VOCABULARY = 1 << 20
-_CACHE_WORDS = 100_000
+#: Words that an encoder keeps from block to block.
+_CACHE_WORDS = 150_000
 _ROWS = 2048
 _DOCUMENTS = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, payload binary, offsets array<int>"
 
@@ -41,32 +42,34 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, np.ndarray] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > _CACHE_WORDS:
-            self.known.clear()
+    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of each word; runs of words are encoded as one text and told apart by their places."""
+        out = []
         runs = [words[i:i + 256] for i in range(0, len(words), 256)]
         texts = [[w.decode("utf-8", "replace") for w in run] for run in runs]
-        for run, parts_, coded in zip(runs, texts, self.tokenizer.encode_batch(
-                [" ".join(t) for t in texts], add_special_tokens=False)):
+        for run, coded in zip(texts, self.tokenizer.encode_batch([" ".join(t) for t in texts],
+                                                                 add_special_tokens=False)):
             ids = np.array(coded.ids, np.uint32)
-            begins = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts_])])
+            begins = np.concatenate([[0], np.cumsum([len(w) + 1 for w in run])])
             owner = np.searchsorted(begins, [a for a, _ in coded.offsets], side="right")
             cuts = np.searchsorted(owner, np.arange(1, len(run) + 2))
-            for i, word in enumerate(run):
-                self.known[word] = ids[cuts[i]:cuts[i + 1]]
+            out.extend(ids[a:b] for a, b in zip(cuts[:-1], cuts[1:]))
+        return out
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text's ids begin."""
         block = block_of(texts)
         words = words_of(block)
-        _, once, kind = np.unique(word_hashes(block, words), return_index=True, return_inverse=True)
+        _, once, kind, times = np.unique(word_hashes(block, words), return_index=True, return_inverse=True,
+                                         return_counts=True)
         raw = block.data.tobytes()
         distinct = [raw[words.starts[i]:words.stops[i]] for i in once]
-        new = [w for w in distinct if w not in self.known]
-        fixed = {w: self.known[w] for w in distinct if w in self.known}
-        if new:
-            self._learn(new)
-        coded = [self.known[w] if w in self.known else fixed[w] for w in distinct]
+        coded = [self.known.get(w) for w in distinct]
+        new = [i for i, c in enumerate(coded) if c is None]
+        for i, ids in zip(new, self._encode([distinct[i] for i in new])):
+            coded[i] = ids
+            if times[i] > 1 and len(self.known) < _CACHE_WORDS:
+                self.known[distinct[i]] = ids
         size = np.array([len(c) for c in coded], np.int64)
         begin = np.cumsum(size) - size
         flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
