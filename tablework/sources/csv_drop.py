@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import posixpath
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.functions.text import PYTHON_BLANKS
 from tablework.plans.crm import COMPANY_COLUMNS, DEAL_COLUMNS
 
 INCOMING = "incoming/"
@@ -16,9 +19,7 @@ EXPECTED_COLUMNS = {"companies": COMPANY_COLUMNS, "deals": DEAL_COLUMNS}
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 MAX_MESSAGE = 1000
-
-# Files above this size are worth cutting; it is the size of one scan task.
-CUT_ABOVE_BYTES = 128 * 1024 * 1024
+_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def route(object_name: Column) -> Column:
@@ -44,10 +45,13 @@ def file_columns(files: DataFrame, root: str) -> DataFrame:
 
     A file written again under the same name has another generation.
     """
-    folder = root.removeprefix("file:").rstrip("/") + "/"
-    folder = "/" + folder.lstrip("/") if root.startswith(("file:", "/")) else folder
-    named = files.withColumn("object_name", F.substr(
-        F.col("path"), F.instr(F.col("path"), F.lit(folder)) + F.lit(len(folder))))
+    folder = posixpath.normpath("/" + re.sub(_STORE, "", root).lstrip("/")).rstrip("/") + "/"
+    if not (re.match(_STORE, root) or root.startswith("/")):
+        folder = posixpath.join(posixpath.abspath(root), "")
+    place = F.regexp_replace("path", _STORE, "")
+    named = files.withColumn("object_name", F.when(
+        F.startswith(place, F.lit(folder)), F.substr(place, F.lit(len(folder) + 1))).otherwise(
+        F.raise_error(F.concat(F.lit(f"not under {folder}: "), "path"))))
     return named.select(
         "path", "object_name",
         F.concat(F.unix_micros("modificationTime").cast("string"), F.lit("-"), F.col("length").cast("string"))
@@ -67,61 +71,30 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def files_with_open_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files that must be read whole: a line may leave a quote open, or be blank.
-
-    When every line of a file has an even number of quotes, no record goes past
-    its line, and the file may be cut at any line.
-    """
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    blank = (F.trim(line) == "") & (line != "")
-    return (spark.read.text(list(paths)).filter((quotes % 2 == 1) | blank)
-            .select(file_path().alias("path")).distinct())
-
-
-def parse_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
-                whole_files: bool = True) -> DataFrame:
-    """Every record as text, the header record included.
+def parse_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Every record as text, the header record included; ``_line`` rises within a file.
 
-    Quoted line breaks need a file in one task. Without any, ``whole_files``
-    may be off, and Spark cuts large files. ``_line`` rises within the first
-    cut of a file, which holds the header, and is NULL in others.
+    A quoted line break may go past any line, so a file of any size is read by
+    one task, and all files by the same rules.
     """
     schema = ", ".join(f"`{c}` string" for c in columns) + ", _malformed string"
-    in_first_cut = F.col("_metadata.file_block_start") == 0
     return (spark.read.schema(schema)
-            .option("header", "false").option("multiLine", str(whole_files).lower()).option("escape", '"')
+            .option("header", "false").option("multiLine", "true").option("escape", '"')
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed")
             .csv(list(paths))
             .select(*columns, "_malformed", file_path().alias("path"),
-                    F.when(in_first_cut, F.monotonically_increasing_id()).alias("_line")))
-
-
-def parse_drop(spark: SparkSession, sizes: Mapping[str, int], columns: Sequence[str],
-               cut_above: int = CUT_ABOVE_BYTES) -> DataFrame:
-    """Records of many files; a large file is read in cuts where that is exact.
-
-    ``sizes`` maps each path of a bounded batch to its length. Only large files
-    are looked at for open lines, as a small one is one task either way.
-    """
-    large = [p for p, size in sizes.items() if size > cut_above]
-    open_lines = {r["path"] for r in files_with_open_lines(spark, large).collect()} if large else set()
-    cut = [p for p in large if p not in open_lines]
-    whole = [p for p in sizes if p not in cut]
-    parts = ([parse_files(spark, whole, columns)] if whole else []) + (
-        [parse_files(spark, cut, columns, whole_files=False)] if cut else [])
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+                    F.monotonically_increasing_id().alias("_line")))
 
 
 def header_cells(columns: Sequence[str]) -> Column:
-    """The record's cells as a header: no byte-order mark, trimmed, lower case."""
+    """The record's cells as a header: trimmed, lower case, no byte-order mark before the first."""
     cells = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in columns])
     # A record with another number of cells is kept whole as text.
     whole = F.split(F.replace(F.col("_malformed"), F.lit('"'), F.lit("")), ",")
     cells = F.when(F.col("_malformed").isNotNull(), whole).otherwise(cells)
-    return F.transform(cells, lambda c: F.lower(F.trim(F.regexp_replace(c, "^\\ufeff|[\r\n\t]", ""))))
+    return F.transform(cells, lambda c, i: F.lower(F.btrim(
+        F.when(i == 0, F.ltrim(c, F.lit("\ufeff"))).otherwise(c), F.lit(PYTHON_BLANKS))))
 
 
 def _mismatch(table: str) -> tuple[str, str]:
@@ -161,9 +134,9 @@ def file_verdicts(rows: DataFrame, table: str) -> DataFrame:
 
 
 def csv_drop(spark: SparkSession, paths: Sequence[str], table: str) -> DataFrame:
-    """All rows of files known to be good, as text, headers skipped."""
+    """All rows of the files that pass the gate, as text, headers skipped."""
     columns = EXPECTED_COLUMNS[table]
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return (spark.read.schema(schema).option("header", "true").option("multiLine", "true").option("escape", '"')
-            .option("mode", "FAILFAST").csv(list(paths))
-            .select(*columns, file_path().alias("_source_file")))
+    rows = parse_files(spark, paths, columns)
+    good = file_verdicts(rows, table).filter(F.col("status") == "loaded").select("path", "_header_line")
+    return rows.join(good, "path").filter(F.col("_line") != F.col("_header_line")).select(
+        *columns, F.col("path").alias("_source_file"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tablework.plans.ingest import FILES_PER_BATCH, load_files
+from tablework.plans.ingest import FILES_PER_BATCH, fresh_id, load_files
 from tablework.sources.csv_drop import FILE_SCHEMA, file_columns
 
 
@@ -26,7 +26,7 @@ def start_file_drop(spark: SparkSession, root: str, warehouse: str, checkpoint:
              .select("path", "modificationTime", "length"))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_files(batch.sparkSession, file_columns(batch, root), warehouse, f"stream-{batch_id}", clock())
+        load_files(batch.sparkSession, file_columns(batch, root), warehouse, fresh_id(f"stream-{batch_id}"), clock())
 
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

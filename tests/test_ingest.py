@@ -73,30 +73,41 @@ def test_each_file_gets_its_verdict(spark, tmp_path):
     assert {("processed" if "/processed/" in r.moves_to else "rejected") for r in moves if r.status == "loaded"} == {"processed"}
 
 
-def test_large_files_are_cut_where_that_is_exact(spark, tmp_path):
-    root = tmp_path / "drop"
-    plain = [row(f"C{i}", f'"n ""{i}"""' if i % 5 == 0 else f"n{i}") for i in range(3000)]
-    drop(root, "cut.csv", HEADER + "\n" + "\n".join(plain) + "\n")
-    drop(root, "open.csv", HEADER + "\n" + "\n".join(plain) + "\n" + row("Q", '"a\nb"') + "\n")
-    drop(root, "ragged.csv", HEADER + "\n" + "\n".join(plain) + "\nshort,row\n")
-    drop(root, "no_header.csv", "\n".join(plain) + "\n")
-    paths = [r.path for r in csv_drop.list_files(spark, str(root)).collect()]
-    assert [os.path.basename(r.path) for r in csv_drop.files_with_open_lines(spark, paths).collect()] == ["open.csv"]
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        cut = csv_drop.parse_files(spark, [p for p in paths if "cut" in p], csv_drop.EXPECTED_COLUMNS["companies"], False)
-        assert cut.rdd.getNumPartitions() > 3 and cut.filter("_line IS NULL").count() > 0
-        found = {}
-        for name, cut_above in (("whole", 1 << 40), ("cut", 1000)):
-            warehouse = str(tmp_path / name)
-            ingest.load_files(spark, csv_drop.list_files(spark, str(root)), warehouse, "b", LOADED_AT, cut_above)
-            log = ingest.read_load_log(spark, warehouse).select("source_file", "status", "row_count", "message").collect()
-            raw = ingest.read_raw(spark, warehouse, "companies").select("company_id", "company_name", "_source_file")
-            found[name] = (sorted(map(tuple, log), key=str), sorted(map(tuple, raw.collect())))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert found["whole"] == found["cut"] and len(found["cut"][1]) == 6001
-    assert [r[1] for r in found["cut"][0]] == ["loaded", "rejected", "loaded", "rejected"]
+def test_line_ends_and_headers_are_read_alike_in_every_file(spark, tmp_path):
+    root, warehouse = tmp_path / "drop", tmp_path / "wh"
+    drop(root, "mixed.csv", HEADER + "\r\n" + row("C1") + "\n" + row("C2") + "\r\n")
+    drop(root, "nbsp.csv", HEADER.replace("company_id", "\u00a0company_id\u00a0") + "\n" + row("C3") + "\n")
+    drop(root, "tab.csv", HEADER.replace("company_id", "company\t_id") + "\n" + row("C4") + "\n")
+    drop(root, "late_mark.csv", HEADER.replace("company_name", "\ufeffcompany_name") + "\n" + row("C5") + "\n")
+    found = outcomes(spark, root, warehouse)
+    assert {n: v[0] for n, v in found.items()} == {"mixed.csv": "rejected", "nbsp.csv": "loaded", "tab.csv": "rejected",
+                                                   "late_mark.csv": "rejected"}
+
+
+def test_a_repeated_run_id_loses_no_rows(spark, tmp_path):
+    root, warehouse = tmp_path / "drop", tmp_path / "wh"
+    drop(root, "a.csv", HEADER + "\n" + row("C1") + "\n" + row("C2") + "\n")
+    outcomes(spark, root, warehouse, "same")
+    drop(root, "b.csv", HEADER + "\n" + row("C3") + "\n")
+    assert set(outcomes(spark, root, warehouse, "same")) == {"b.csv"}
+    assert ingest.read_raw(spark, str(warehouse), "companies").count() == 3
+
+
+def test_a_lost_checkpoint_loses_no_rows(spark, tmp_path):
+    root, warehouse = tmp_path / "drop", str(tmp_path / "wh")
+    for i in range(2):
+        drop(root, f"f{i}.csv", HEADER + "\n" + row(f"C{i}") + "\n")
+        start_file_drop(spark, str(root), warehouse, str(tmp_path / f"cp{i}"), lambda: LOADED_AT).awaitTermination()
+    assert ingest.read_raw(spark, warehouse, "companies").count() == 2
+
+
+@pytest.mark.parametrize("spell", ["{}//", "{}/./", "file://{}", "file:{}"])
+def test_roots_may_be_spelled_in_any_way(spark, tmp_path, spell):
+    drop(tmp_path / "incoming", "a.csv", HEADER + "\n")
+    found = csv_drop.list_files(spark, spell.format(tmp_path / "incoming")).first()
+    assert (found.object_name, found.target_table) == ("incoming/companies/a.csv", "companies")
+    log = spark.createDataFrame([(found.path, "loaded", 0, None)], "source_file string, status string, row_count long, message string")
+    assert ingest.file_outcomes(log).first().moves_to.endswith("/incoming/processed/companies/a.csv")
 
 
 def test_a_file_is_loaded_once_and_again_only_when_rewritten(spark, tmp_path):
