@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,17 +19,23 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach.
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a session without the
-    setting, as in tests, gets a folder of its own, which is then recorded in
-    the session so that later calls agree.
+    Only a session on a local master may go without the setting, as in tests;
+    it gets one temporary folder for its lifetime.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = "file:" + tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if context.applicationId not in _LOCAL_DIRS:
+            _LOCAL_DIRS[context.applicationId] = "file:" + tempfile.mkdtemp(prefix="run-")
+        configured = _LOCAL_DIRS[context.applicationId]
     return configured.rstrip("/")
 
 
