@@ -8,7 +8,7 @@ and returns the Column in the frame at hand.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -203,3 +203,14 @@ class Model:
         if f"-{plain}" in offered or not ({plain, plain.partition(".")[0] + ".*"} & offered):
             raise UnknownField(f"{name} in topic {topic.name}")
         return found
+
+    def require_filter(self, topic: Topic, views: Iterable[str], name: str,
+                       attributes: Mapping[str, str]) -> Dimension | Measure:
+        """The field, if it may be tested: in a view of the topic, not excluded from it, and the user may see it."""
+        found = self.field_of(name)
+        plain = name.partition("[")[0]
+        if plain.partition(".")[0] not in views or f"-{plain}" in topic.fields:
+            raise UnknownField(f"{name} in topic {topic.name}")
+        if not self.allowed(found, attributes):
+            raise AccessDenied(name)
+        return found

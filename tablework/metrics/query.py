@@ -69,10 +69,16 @@ class TopicQuery:
             (self.dims if isinstance(found, Dimension) else self.measures).append(name)
         replaced = {f.field for f in filters}
         defaults = [f for f in topic.default_filters if f.field not in replaced] if default_filters else []
-        self.filters = [*defaults, *filters]
-        for f in self.filters:
+        for f in defaults:  # the author of the topic may test what it does not offer
             if not model.allowed(model.field_of(f.field), attributes):
                 raise AccessDenied(f.field)
+        views = {topic.base, *self.hops}
+        # A filter on a measure tests the groups; it needs the measure, shown or not.
+        self.having = [f for f in filters
+                       if not isinstance(model.require_filter(topic, views, f.field, attributes), Dimension)]
+        self.filters = [*defaults, *[f for f in filters if f not in self.having]]
+        self.shown = list(self.measures)
+        self.measures += [n for n in dict.fromkeys(f.field for f in self.having) if n not in self.measures]
 
     # Fields -> Columns
 
@@ -308,7 +314,10 @@ class TopicQuery:
             for other in grouped[1:]:
                 df = df.unionByName(other, allowMissingColumns=True)
             df = df.groupBy(*dims).agg(*[F.max(c).alias(c) for c in df.columns if c not in dims])
-        return df.select(*dims, *[self.result(n).alias(output_name(n)) for n in self.measures])
+        df = df.select(*dims, *[self.result(n).alias(output_name(n)) for n in self.measures])
+        for f in self.having:
+            df = df.filter(f.predicate(F.col(output_name(f.field)), self.as_of))
+        return df.select(*dims, *[output_name(n) for n in self.shown])
 
 
 def topic_query(model: Model, topic: str, frames: Frames, fields: Sequence[str], as_of: dt.date,

@@ -124,3 +124,20 @@ def test_no_rows_still_gives_a_row_of_zero(ask):
     row = ask("orders", "order_items.count orders.count order_items.net_revenue orders.return_rate",
               filters=[nothing]).first()
     assert tuple(row) == (0, 0, None, None)
+
+
+def test_a_filter_on_a_measure_tests_the_groups(ask):
+    every = ask("orders", "products.category order_items.net_revenue").collect()
+    bound = sorted(r[1] for r in every)[len(every) // 2]
+    more = Filter("order_items.net_revenue", "greater_than", bound)
+    kept = ask("orders", "products.category order_items.net_revenue", filters=[more]).collect()
+    assert sorted(map(tuple, kept)) == sorted(tuple(r) for r in every if r[1] > bound)
+    unseen = ask("orders", "products.category", filters=[more])
+    assert len(unseen.columns) == 1
+    assert sorted(r[0] for r in unseen.collect()) == sorted(r[0] for r in kept)
+
+
+@pytest.mark.parametrize("name", ["users.email", "snapshot.status", "nowhere.at_all"])
+def test_excluded_and_foreign_fields_are_no_filters(ask, name):
+    with pytest.raises(UnknownField):
+        ask("orders", "order_items.net_revenue", filters=[Filter(name, "is", "x")])
