@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.text import PYTHON_BLANKS
 from tablework.plans.crm import COMPANY_COLUMNS, DEAL_COLUMNS
+from tablework.session import work_path
 
 INCOMING = "incoming/"
 
@@ -136,7 +137,10 @@ def file_verdicts(rows: DataFrame, table: str) -> DataFrame:
 def csv_drop(spark: SparkSession, paths: Sequence[str], table: str) -> DataFrame:
     """All rows of the files that pass the gate, as text, headers skipped."""
     columns = EXPECTED_COLUMNS[table]
-    rows = parse_files(spark, paths, columns)
+    # Written once: Spark does not count malformed records of a file it is still parsing.
+    staged, parsed = work_path(spark, f"parsed-{table}"), parse_files(spark, paths, columns)
+    parsed.write.parquet(staged)
+    rows = spark.read.schema(parsed.schema).parquet(staged)
     good = file_verdicts(rows, table).filter(F.col("status") == "loaded").select("path", "_header_line")
     return rows.join(good, "path").filter(F.col("_line") != F.col("_header_line")).select(
         *columns, F.col("path").alias("_source_file"))
