@@ -22,17 +22,18 @@ from tablework.llm.tables import BLOCK_BYTES, parts, stage, text_bytes
 
 END_ID = 1
 MAX_VOCABULARY = 1 << 20
-#: Words that an encoder keeps from block to block.
-_CACHE_WORDS = 150_000
+#: Words that an encoder remembers from block to block, about 50 bytes each.
+_CACHE_WORDS = 1_000_000
 _ROWS = 2048
 _DOCUMENTS = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, payload binary, offsets array<int>"
 
 
 class WordEncoder:
-    """Encodes texts word by word, each distinct word of a block once.
+    """Encodes texts word by word, each distinct word once; words are remembered from block to block.
 
     Equal to encoding whole texts for tokenizers that drop white space and
-    whose normaliser and pre-tokenizer never join what blanks part.
+    whose normaliser and pre-tokenizer never join what blanks part. The memory
+    holds word hashes in order, and where the ids of each word lie in ``ids``.
     """
 
     def __init__(self, path: str):
@@ -40,43 +41,59 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, np.ndarray] = {}
+        self.hashes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.begin, self.size, self.blocks = (np.zeros(0, np.int64) for _ in range(3))
 
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word; runs of words are encoded as one text and told apart by their places."""
-        out = []
-        runs = [words[i:i + 256] for i in range(0, len(words), 256)]
-        texts = [[w.decode("utf-8", "replace") for w in run] for run in runs]
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words and how many each has; runs of words are one text, told apart by their places."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        texts = [[w.decode("utf-8", "replace") for w in words[i:i + 256]] for i in range(0, len(words), 256)]
         for run, coded in zip(texts, self.tokenizer.encode_batch([" ".join(t) for t in texts],
                                                                  add_special_tokens=False)):
-            ids = np.array(coded.ids, np.uint32)
             begins = np.concatenate([[0], np.cumsum([len(w) + 1 for w in run])])
-            owner = np.searchsorted(begins, [a for a, _ in coded.offsets], side="right")
-            cuts = np.searchsorted(owner, np.arange(1, len(run) + 2))
-            out.extend(ids[a:b] for a, b in zip(cuts[:-1], cuts[1:]))
-        return out
+            owner = np.searchsorted(begins, [a for a, _ in coded.offsets], side="right") - 1
+            ids.append(np.array(coded.ids, np.uint32))
+            sizes.append(np.bincount(owner, minlength=len(run)) if len(owner) else np.zeros(len(run), np.int64))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        ids, size = self._encode(words)
+        at = np.searchsorted(self.hashes, hashes)
+        self.begin = np.insert(self.begin, at, len(self.ids) + np.cumsum(size) - size)
+        self.ids = np.concatenate([self.ids, ids])
+        self.hashes, self.size = np.insert(self.hashes, at, hashes), np.insert(self.size, at, size)
+        self.blocks = np.insert(self.blocks, at, 0)
+
+    def _forget(self) -> None:
+        """Keep the half of the memory that most blocks had use for."""
+        keep = np.sort(np.argsort(self.blocks, kind="stable")[-(_CACHE_WORDS // 2):])
+        self.hashes, self.blocks = self.hashes[keep], self.blocks[keep]
+        self.ids = self.ids[_runs(self.begin[keep], self.size[keep])]
+        self.size = self.size[keep]
+        self.begin = np.cumsum(self.size) - self.size
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text's ids begin."""
         block = block_of(texts)
         words = words_of(block)
-        _, once, kind, times = np.unique(word_hashes(block, words), return_index=True, return_inverse=True,
-                                         return_counts=True)
+        distinct, once, kind = np.unique(word_hashes(block, words), return_index=True, return_inverse=True)
+        new = np.flatnonzero(~np.isin(distinct, self.hashes, assume_unique=True))
         raw = block.data.tobytes()
-        distinct = [raw[words.starts[i]:words.stops[i]] for i in once]
-        coded = [self.known.get(w) for w in distinct]
-        new = [i for i, c in enumerate(coded) if c is None]
-        for i, ids in zip(new, self._encode([distinct[i] for i in new])):
-            coded[i] = ids
-            if times[i] > 1 and len(self.known) < _CACHE_WORDS:
-                self.known[distinct[i]] = ids
-        size = np.array([len(c) for c in coded], np.int64)
-        begin = np.cumsum(size) - size
-        flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
-        length = size[kind] if len(kind) else np.zeros(0, np.int64)
-        ends = np.concatenate([[0], np.cumsum(length)])
-        at = np.arange(ends[-1]) + np.repeat(begin[kind] - ends[:-1], length) if len(kind) else np.zeros(0, np.int64)
-        return flat[at], ends[words.first]
+        self._learn(distinct[new], [raw[words.starts[i]:words.stops[i]] for i in once[new]])
+        at = np.searchsorted(self.hashes, distinct)
+        self.blocks[at] += 1
+        at = at[kind]
+        size = self.size[at]
+        out = self.ids[_runs(self.begin[at], size)]
+        if len(self.hashes) > _CACHE_WORDS:
+            self._forget()
+        return out, np.concatenate([[0], np.cumsum(size)])[words.first]
+
+
+def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``begin[i]`` to ``begin[i] + size[i]`` of all i in a row."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
