@@ -21,6 +21,8 @@ _BACK = U64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 SPACE = "▁"
 #: Weight of the piece of rank r is 1 / (r + FLAT): frequent pieces come first in the vocabulary.
 FLAT = 50.0
+#: Nodes of the strings whose lattices are built together.
+_GROUP = 1 << 16
 
 
 def _ladder(base: np.uint64, n: int) -> np.ndarray:
@@ -147,7 +149,22 @@ class Lattice:
 
     @classmethod
     def build(cls, pieces: Pieces, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> Lattice:
-        """Lattices of the given byte spans. A character that is no piece gets an edge of its byte pieces."""
+        """Lattices of the given byte spans, built by groups of strings so that working arrays stay small."""
+        group = np.cumsum(stops - starts + 1) // _GROUP
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+        parts, nodes, edges = [], 0, 0
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            begin, text, first, origin, target, piece, share = cls._group(pieces, data, starts[a:b], stops[a:b])
+            parts.append((begin[:-1] + nodes, text, first[:-1] + edges, (origin + nodes).astype(np.int32),
+                          (target + nodes).astype(np.int32), piece.astype(np.int32), share))
+            nodes, edges = nodes + len(text), edges + len(origin)
+        begin, text, first, origin, target, piece, share = (np.concatenate(column) for column in zip(*parts))
+        return cls(np.append(begin, nodes), text, np.append(first, edges), origin, target, piece, share,
+                   np.cumsum(share))
+
+    @staticmethod
+    def _group(pieces: Pieces, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The fields of one group's lattice. A character that is no piece gets an edge of its byte pieces."""
         size = stops - starts
         begin = np.concatenate([[0], np.cumsum(size + 1)])  # one node more than bytes
         n = int(begin[-1])
@@ -206,8 +223,7 @@ class Lattice:
         ranked = np.argsort(origin, kind="stable")
         origin, target, piece, weight = (x[ranked] for x in (origin, target, piece, weight))
         share = np.exp(weight + mass[target] - mass[origin])
-        return cls(begin, text, np.searchsorted(origin, np.arange(n + 1)), origin, target, piece, share,
-                   np.cumsum(share))
+        return begin, text, np.searchsorted(origin, np.arange(n + 1)), origin, target, piece, share
 
     def draw(self, nodes: np.ndarray, ends: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Random paths from ``nodes`` to ``ends``: all edges in a row, and where each path's edges begin."""

@@ -22,7 +22,7 @@ from tablework.llm.lattice import Lattice, Pieces, pieces, split, uniform
 from tablework.llm.tables import key_columns
 
 SAMPLES = 2
-_BLOCK = 5 << 18
+_BLOCK = 5 << 17
 _SCHEMA = "doc_id bigint, rank int, ids binary, n_tokens bigint, log_prob double, perturbed double, inclusion double"
 _NAMES = ["doc_id", "rank", "ids", "n_tokens", "log_prob", "perturbed", "inclusion"]
 U64 = np.uint64
@@ -167,7 +167,7 @@ class _Walk:
         with np.errstate(divide="ignore"):
             self.log_rest = np.log(np.maximum(1.0 - lattice.share, 0.0))
         self.alone = np.diff(lattice.first)[lattice.origin] == 1
-        self.string_of = np.searchsorted(lattice.start, np.arange(lattice.start[-1]), side="right") - 1
+        self.string_of = np.repeat(np.arange(len(lattice.start) - 1, dtype=np.int32), np.diff(lattice.start))
 
     def take(self, start: dict, texts: list[_Text], rank: int, most: int) -> None:
         """Draw the next path of each text in ``start``: (value, parent edges, string to go on in, node)."""
