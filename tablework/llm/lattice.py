@@ -22,7 +22,7 @@ SPACE = "▁"
 #: Weight of the piece of rank r is 1 / (r + FLAT): frequent pieces come first in the vocabulary.
 FLAT = 50.0
 #: Nodes of the strings whose lattices are built together.
-_GROUP = 1 << 16
+_GROUP = 1 << 15
 
 
 def _ladder(base: np.uint64, n: int) -> np.ndarray:
@@ -207,8 +207,12 @@ class Lattice:
         target = np.concatenate([t, ends[bare]])
         piece = np.concatenate([np.concatenate(found), np.full(int(bare.sum()), -1)])
 
+        # Sixteen-bit keys are sorted in linear time; only a group of one very long string needs wider ones.
+        key = np.uint16 if n <= 1 << 16 else np.int64
+        ranked = np.argsort(origin.astype(key), kind="stable")
+        origin, target, piece, weight = (x[ranked] for x in (origin, target, piece, weight))
         mass = np.zeros(n)
-        order = np.lexsort((origin, left[origin]))
+        order = np.argsort(left[origin].astype(key), kind="stable")
         distance = left[origin[order]]
         cuts = np.flatnonzero(np.concatenate([[True], distance[1:] != distance[:-1], [True]])) if len(order) else [0]
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -220,8 +224,6 @@ class Lattice:
             spread = np.repeat(top, np.diff(np.append(heads, len(value))))
             mass[node_of[heads]] = top + np.log(np.add.reduceat(np.exp(value - spread), heads))
 
-        ranked = np.argsort(origin, kind="stable")
-        origin, target, piece, weight = (x[ranked] for x in (origin, target, piece, weight))
         share = np.exp(weight + mass[target] - mass[origin])
         return begin, text, np.searchsorted(origin, np.arange(n + 1)), origin, target, piece, share
 

@@ -22,7 +22,7 @@ from tablework.llm.lattice import Lattice, Pieces, pieces, split, uniform
 from tablework.llm.tables import key_columns
 
 SAMPLES = 2
-_BLOCK = 5 << 17
+_BLOCK = 5 << 18
 _SCHEMA = "doc_id bigint, rank int, ids binary, n_tokens bigint, log_prob double, perturbed double, inclusion double"
 _NAMES = ["doc_id", "rank", "ids", "n_tokens", "log_prob", "perturbed", "inclusion"]
 U64 = np.uint64
@@ -181,6 +181,7 @@ class _Walk:
         idle = ~np.repeat(active, np.diff(self.strings.first))
         nodes[idle] = self.ends[idle]
         drawn, first = self.lattice.draw(nodes, self.ends, mix(self.seeds + U64(rank + 1)))
+        spots = np.zeros(0, np.uint64)
         for d, (value, parent, string, _) in start.items():
             lo, hi = first[self.strings.first[d]], first[self.strings.first[d + 1]]
             fresh = drawn[lo:hi]
@@ -192,7 +193,9 @@ class _Walk:
             # An edge without a sibling leaves nothing, whatever rounding says.
             mass = np.where(self.alone[edges[known:]], -np.inf, before[known:-1] + rest)
             at = np.arange(known, len(edges))
-            u = uniform(mix(self.keys[d] + mix(at.astype(np.uint64) + U64((rank + 1) << 40))), 1)
+            if len(spots) < len(edges):
+                spots = mix(np.arange(2 * len(edges), dtype=np.uint64) + U64((rank + 1) << 40))
+            u = uniform(mix(self.keys[d] + spots[known:len(edges)]), 1)
             text = texts[d]
             text.offer(len(text.paths), at, _gumbel_below(mass, value, u), mass, most)
             text.paths.append((edges, value, float(before[-1])))
@@ -231,12 +234,16 @@ class _Walk:
     def byte_edges(self, vocabulary: Pieces):
         """A function from edges to ids, with a character without a piece as the ids of its bytes."""
         lattice = self.lattice
-        bare = np.flatnonzero(lattice.piece < 0)
+        piece = lattice.piece.copy()
+        bare = np.flatnonzero(piece < 0)
         origin = lattice.origin[bare]
+        single = lattice.target[bare] - origin == 1
+        piece[bare[single]] = vocabulary.fallback[lattice.text[origin[single]]]
+        bare, origin = bare[~single], origin[~single]
         spelled = {int(e): self.spell(int(o), int(lattice.target[e])) for e, o in zip(bare, origin)}
 
         def ids(edges: np.ndarray) -> np.ndarray:
-            out = lattice.piece[edges]
+            out = piece[edges]
             holes = np.flatnonzero(out < 0)
             if not len(holes):
                 return out
