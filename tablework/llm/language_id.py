@@ -182,10 +182,16 @@ def identify(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
     letter, or nothing was learned.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    return _predicted(docs, model).select(*[F.col(f"row.`{c}`").alias(c) for c in kept], "lang_pred", "score")
 
+
+def _predicted(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
+    """row (all columns in one struct), lang_pred and score; each text travels to the workers once."""
     def predict(batches):
         for batch in batches:
-            for table in _blocks(batch):
+            row = batch.column("row")
+            texts = row.field(row.type.get_field_index("text"))
+            for table in _blocks(batch.append_column("text", texts)):
                 n = len(table)
                 names, score = (np.full(n, UNKNOWN, object), np.zeros(n))
                 rows = np.flatnonzero(table.column("lettered").to_numpy(zero_copy_only=False)) if model else []
@@ -194,16 +200,13 @@ def identify(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
                 yield from pa.table([table.column("row").combine_chunks(), pa.array(names, pa.string()),
                                      pa.array(score)], names=["row", "lang_pred", "score"]).to_batches()
 
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "text", F.coalesce(
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(
         F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)).alias("lettered"))
-    schema = f"row {whole.schema['row'].dataType.simpleString()}, lang_pred string, score double"
-    out = whole.mapInArrow(predict, schema)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], "lang_pred", "score")
+    return whole.mapInArrow(predict, f"row {whole.schema['row'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Hierarchy | None, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents, with all their columns, whose language is known with a score of ``min_score`` or more."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    found = identify(docs.select(row, "text"), model)
+    found = _predicted(docs, model)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(
         *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
