@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablework.llm.tables import BLOCK_BYTES
 from tablework.session import pin_session
 
 ROOT = str(pathlib.Path(__file__).resolve().parents[2])
@@ -17,8 +18,10 @@ ORACLES: dict[str, str] = {}
 
 
 def with_workers(spark: SparkSession) -> SparkSession:
-    """Pin the session, and let Python workers import this package also where it is not on their path."""
+    """Pin the session, bound what Python workers get at once, and let them import this package from anywhere."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    # Batches end after so many bytes, not only after 10,000 rows; a longer row is a batch of its own.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BLOCK_BYTES))
     return pin_session(spark)
 
 
