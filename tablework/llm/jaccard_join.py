@@ -26,6 +26,8 @@ from tablework.operators.joins import lookup
 
 SHINGLE, PERCENT = 5, 75
 PAIR_BLOCK = 2048
+#: Bytes of text whose shingles a task holds at once.
+_CHUNK = BLOCK_BYTES // 2
 _SUMMARY = ("chunk int, doc_id bigint, key_a bigint, key_b bigint, n bigint, set_a bigint, set_b bigint")
 _RECORD = ("node string, n bigint, alone bigint, prefix_a bigint, prefix_b bigint, firsts array<bigint>, "
            "shared binary")
@@ -104,13 +106,13 @@ def _placed(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, key_a, key_b, n and ``chosen(unknown, doc_id, key_a, key_b, chunk)``, the row that stands for the component."""
     spark = docs.sparkSession
     bytes_in = text_bytes(docs)
-    chunks, buckets = parts(spark, bytes_in), parts(spark, bytes_in, 2 * BLOCK_BYTES)
+    chunks, buckets = parts(spark, bytes_in, _CHUNK), parts(spark, bytes_in, 2 * BLOCK_BYTES)
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
     keyed = docs.select(chunk, "doc_id", *key_columns("doc_id", "text"), "text")
 
     def summarise(batches):
         for batch in batches:
-            for table in cut(pa.Table.from_batches([batch]), "text", BLOCK_BYTES):
+            for table in cut(pa.Table.from_batches([batch]), "text", _CHUNK):
                 found, first = shingles(table.column("text"), size)
                 for b in pa.Table.from_arrays(
                         [*[table.column(c).combine_chunks() for c in ("chunk", "doc_id", "key_a", "key_b")],
