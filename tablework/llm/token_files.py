@@ -40,7 +40,6 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.hashes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         self.begin, self.size, self.blocks = (np.zeros(0, np.int64) for _ in range(3))
 

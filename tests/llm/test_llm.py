@@ -165,6 +165,17 @@ def test_token_files_equal_whole_texts(spark, docs, tmp_path):
     assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
 
 
+def test_special_tokens_are_encoded_as_the_file_says(spark, tmp_path):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(TOKENIZER)
+    texts = ["the end <|endoftext|> here", "<|endoftext|>", "glued<|endoftext|>to words", "<|startoftext|>x <|endoftext|>",
+             "a <|endoftext|><|endoftext|>\n\n<|startoftext|> b", "<|endoftext |> <| endoftext|> <|ENDOFTEXT|>"]
+    write_token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER, f"file:{tmp_path}/t")
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in read_token_files(spark, f"file:{tmp_path}/t").collect()}
+    assert found == {i: whole.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    assert found[0] == [518, 806, 49407, 763, 1]
+
+
 def test_samples_decode_to_their_texts(docs):
     rows = decode_samples(encode_samples(docs, MODEL, 3), MODEL).collect()
     texts = collections.defaultdict(set)
