@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tablework.llm.decontaminate import drop_contaminated
 from tablework.llm.jaccard_join import keep_one_each
 from tablework.llm.language_id import fit, held_out, keep_identified
-from tablework.llm.line_dedup import deduplicate_lines
+from tablework.llm.line_dedup import remove_repeated_runs
 from tablework.llm.query_subword_samples import MODEL
 from tablework.llm.registry import with_workers
 from tablework.llm.subword_samples import encode_samples
@@ -32,9 +32,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go from the texts; documents that lose all their words to it go whole."""
+    """Runs of two or more lines that stand earlier go from the texts; documents that lose all their words to it go whole."""
     with_workers(spark)
-    out = deduplicate_lines(docs)
+    out = remove_repeated_runs(docs)
     whole = (F.col("n_removed") == 0) | F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]"))
     changed = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return out.where(whole).withColumn("n_chars", changed).select(*[F.col(f"`{c}`") for c in docs.columns])
