@@ -52,3 +52,17 @@ def test_runs_equal_brute_force(spark):
     found = {r.doc_id: r.text for r in remove_repeated_runs(docs).collect()}
     assert [found[i] for i in range(len(texts))] == brute_force(texts)
     assert remove_repeated_runs(docs).columns == ["doc_id", "text", "n_chars", "n_removed"]
+
+
+def test_exact_copies_go_whole_and_near_copies_keep_what_is_new(spark):
+    # 2 to 9 lines, with blank ones between and around; most of them too short to be told by chunk ends.
+    texts = ["\n".join(line(100 * d + k) + "\n" * (k % 3 == 2) for k in range(2 + d % 8)) + "\n" * (d % 2) for d in range(1, 41)]
+    near = [t.replace(line(100 * d + 1), f"new {d} " + line(100 * d + 1)) for d, t in enumerate(texts, 1)]
+    found = stage_of(spark, [*texts, *texts, *near])
+    assert {i: found[i][0] for i in range(40)} == dict(enumerate(texts))
+    assert not found.keys() & set(range(40, 80))
+    for d in range(1, 41):
+        kept = set(filter(None, found[79 + d][0].split("\n")))
+        n = 2 + d % 8  # line 0, and line 2 where it is the last, stand alone beside the new line
+        alone = {line(100 * d)} | ({line(100 * d + 2)} if n == 3 else set())
+        assert kept == {f"new {d} " + line(100 * d + 1)} | alone
