@@ -3,7 +3,7 @@
 from tablework.llm import registry
 from tablework.llm import (  # noqa: F401
     query_chat_format, query_decontaminate, query_html_text, query_jaccard_join, query_language_id, query_line_dedup,
-    query_quality_rules, query_substring_dedup, query_subword_samples, query_token_files)
+    query_merkle, query_quality_rules, query_substring_dedup, query_subword_samples, query_token_files)
 
 
 def queries():
