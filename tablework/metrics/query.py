@@ -5,10 +5,12 @@ Each measure still counts every row of its own view once. How:
 
 - A measure of the base view, or of a view joined one to one, is summed as is.
 - A measure of a view joined many to one is computed from one row per group
-  and key of that view. Measures of the base ride along as partial sums, so
-  both come from one pass over the joined rows.
-  If nothing else needs that view, it is joined after that grouping.
+  and key of that view. If nothing else needs that view, it is joined after
+  that grouping.
 - A distinct count groups by the counted value in the same way.
+- The joined rows are read once for all of these: they are grouped by the
+  dimensions and every key at once, with the measures of the base as partial
+  sums, and grouping sets roll that smaller table up for each key.
 - A view joined one to many is joined in full only for its own measures. For
   everything else it is cut down to the distinct values the query needs, so
   two such views never multiply each other.
@@ -46,12 +48,20 @@ def _view_of(field_name: str) -> str:
 
 
 @dataclass
-class _Part:
-    """One grouped pass: a joined frame and the measures taken from it."""
+class _Keyed:
+    """Measures counted once per key of a view, or once per counted value."""
 
     owner: str
-    key: Column | None = None
-    keyed: list[str] = field(default_factory=list)  # counted once per key
+    key: Column
+    names: list[str] = field(default_factory=list)
+
+
+@dataclass(eq=False)
+class _Pass:
+    """One scan: joined rows and the measures taken from them."""
+
+    owner: str  # the base view, or a one-to-many view that is joined in full
+    keyed: list[_Keyed] = field(default_factory=list)
     summed: list[str] = field(default_factory=list)  # summed over the rows
 
 
@@ -119,9 +129,14 @@ class TopicQuery:
 
     # Joins
 
-    def needed_views(self, part: _Part) -> set[str]:
-        wanted = {self.topic.base, part.owner}
-        wanted |= {_view_of(n) for n in [*part.summed, *self.dims, *(f.field for f in self.filters)]}
+    def needed_views(self, one: _Pass) -> set[str]:
+        """The views to join before the grouping. An owner that only its own measures need waits until after it."""
+        wanted = {self.topic.base, one.owner}
+        wanted |= {_view_of(n) for n in [*one.summed, *self.dims, *(f.field for f in self.filters)]}
+        for part in one.keyed:
+            hop = self.hops.get(part.owner)
+            may_wait = hop is not None and hop.grain == "many_to_one" and not any(map(self.is_distinct, part.names))
+            wanted.add(hop.parent if may_wait else part.owner)
         for name in list(wanted):
             while name != self.topic.base:
                 name = self.hops[name].parent
@@ -164,9 +179,9 @@ class TopicQuery:
                  for i, f in enumerate(self.filters) if _view_of(f.field) in under]
         return df.select(_source(hop.child, hop.child_field), *dims, *tests).distinct()
 
-    def joined(self, part: _Part) -> DataFrame:
+    def joined(self, one: _Pass) -> DataFrame:
         """All joins, filters applied, dimensions added under their output names."""
-        df = self.rows(self.topic.base, self.needed_views(part), part.owner)
+        df = self.rows(self.topic.base, self.needed_views(one), one.owner)
         for i, f in enumerate(self.filters):
             ready = f"_filter_{i}" in df.columns
             df = df.filter(F.col(f"_filter_{i}") if ready else f.predicate(self.column(f.field), self.as_of))
@@ -203,74 +218,87 @@ class TopicQuery:
         measure = self.model.field_of(name)
         return [n if "." in n else f"{_view_of(name)}.{n}" for n in measure.inputs]
 
-    def parts(self) -> list[_Part]:
-        """As few passes as the chosen measures allow."""
-        keyed: dict[tuple[str, str], _Part] = {}
-        summed: dict[str | None, list[str]] = {}
+    def is_distinct(self, name: str) -> bool:
+        return self.model.field_of(name).kind == "count_distinct"
+
+    def passes(self) -> list[_Pass]:
+        """One pass over the base view, and one over each one-to-many view that has measures."""
+        found: dict[str | None, _Pass] = {}
+        keyed: dict[tuple[str, str], _Keyed] = {}
         for name in self.base_measures(self.measures):
-            measure, view = self.model.field_of(name), _view_of(name)
-            if measure.kind == "count_distinct":
-                value = measure.expression(self.lookup(view))
-                keyed.setdefault((view, str(value)), _Part(view, value)).keyed.append(name)
-            elif self.is_base_grain(view) or self.below_a_many(view) == view:
-                summed.setdefault(self.below_a_many(view), []).append(name)
-            else:
-                keyed.setdefault((view, "key"), _Part(view, self.key(view))).keyed.append(name)
-        parts = list(keyed.values())
-        for many, names in summed.items():
-            carrier = next((p for p in parts if self.below_a_many(p.owner) == many), None)
-            if carrier is None:
-                carrier = _Part(many or self.topic.base)
-                parts.append(carrier)
-            carrier.summed += names
-        if self.dims and all(self.below_a_many(p.owner) for p in parts):
-            parts.append(_Part(self.topic.base))  # groups that have no row of a joined view
-        return parts
-
-    def joins_late(self, part: _Part) -> bool:
-        """Whether the owner's columns matter only after its key is grouped by."""
-        hop = self.hops.get(part.owner)
-        before = _Part(hop.parent, summed=part.summed) if hop else None
-        return (hop is not None and hop.grain == "many_to_one" and part.owner not in self.needed_views(before)
-                and all(self.model.field_of(n).kind != "count_distinct" for n in part.keyed))
-
-    def grouped(self, part: _Part) -> DataFrame:
+            view = _view_of(name)
+            many = self.below_a_many(view)
+            one = found.setdefault(many, _Pass(many or self.topic.base))
+            if not self.is_distinct(name) and (self.is_base_grain(view) or many == view):
+                one.summed.append(name)
+                continue
+            key = self.model.field_of(name).expression(self.lookup(view)) if self.is_distinct(name) else self.key(view)
+            by = (view, str(key) if self.is_distinct(name) else "key")
+            if by not in keyed:
+                keyed[by] = _Keyed(view, key)
+                one.keyed.append(keyed[by])
+            keyed[by].names.append(name)
+        if self.dims and None not in found:
+            found[None] = _Pass(self.topic.base)  # groups that have no row of a joined view
+        return list(found.values())
+
+    def late(self, one: _Pass) -> list[_Keyed]:
+        """Those whose owner's columns matter only after its key is grouped by."""
+        needed = self.needed_views(one)
+        return [p for p in one.keyed if p.owner not in needed]
+
+    def grouped(self, one: _Pass) -> DataFrame:
+        """The pass's joined rows, read and grouped once by all of its keys, then rolled up per key."""
         dims = [output_name(n) for n in self.dims]
-        if part.key is None:
-            df = self.joined(part)
-            return df.groupBy(*dims).agg(*self.sums(part.summed)) if part.summed else df.select(*dims).distinct()
-        if self.joins_late(part):
-            return self.grouped_by_reference(part, dims)
-        df = self.joined(part)
-        distinct = [n for n in part.keyed if self.model.field_of(n).kind == "count_distinct"]
-        once = [n for n in part.keyed if n not in distinct]
-        # Values that depend on the key are grouped by, which keeps the grouping a hash one.
-        carried = [self.value(n).alias(f"_value_{output_name(n)}") for n in once]
-        flags = [F.max(F.coalesce(self.condition(n), F.lit(False))).alias(f"_flag_{output_name(n)}")
-                 for n in distinct]
-        keys = [*dims, part.key.alias("_key"), *carried]
-        partial = [*flags, *self.sums(part.summed)]
-        per_key = df.groupBy(*keys).agg(*partial) if partial else df.select(*keys).distinct()
-        final = [c for n in once for c in self.aggregates(n, F.col(f"_value_{output_name(n)}"))]
-        final += [F.count_if(F.col(f"_flag_{output_name(n)}") & F.col("_key").isNotNull()).alias(output_name(n))
-                  for n in distinct]
-        final += self.resums(part.summed)
-        return per_key.groupBy(*dims).agg(*final)
-
-    def grouped_by_reference(self, part: _Part, dims: list[str]) -> DataFrame:
-        """Group by the column that refers to the owner, then join the owner.
-
-        The join then moves one row per group and reference, not every row.
-        """
-        hop = self.hops[part.owner]
-        df = self.joined(_Part(hop.parent, summed=part.summed))
-        keys = [*dims, F.col(_source(hop.parent, hop.parent_field)).alias("_reference")]
-        partial = self.sums(part.summed)
-        per_key = df.groupBy(*keys).agg(*partial) if partial else df.select(*keys).distinct()
+        df, late = self.joined(one), self.late(one)
+        if not one.keyed:
+            return df.groupBy(*dims).agg(*self.sums(one.summed)) if one.summed else df.select(*dims).distinct()
+        sets: list[list[str]] = []
+        keys: list[Column] = []
+        flags: list[Column] = []
+        final: list[Column] = []
+        for i, part in enumerate(one.keyed):
+            distinct = [n for n in part.names if self.is_distinct(n)]
+            once = [n for n in part.names if n not in distinct]
+            keys.append((self.reference(part.owner) if part in late else part.key).alias(f"_key_{i}"))
+            # Values that depend on the key are grouped by, which keeps the grouping a hash one.
+            keys += [] if part in late else [self.value(n).alias(f"_value_{output_name(n)}") for n in once]
+            flags += [F.max(F.coalesce(self.condition(n), F.lit(False))).alias(f"_flag_{output_name(n)}") for n in distinct]
+            sets.append([f"_key_{i}", *[f"_value_{output_name(n)}" for n in once]])
+            final += [c for n in once for c in self.aggregates(n, F.col(f"_value_{output_name(n)}"))]
+            final += [F.count_if(F.col(f"_flag_{output_name(n)}") & F.col(f"_key_{i}").isNotNull()).alias(output_name(n))
+                      for n in distinct]
+        partial = [*flags, *self.sums(one.summed)]
+        per_keys = df.groupBy(*dims, *keys).agg(*partial) if partial else df.select(*dims, *keys).distinct()
+        for i, part in enumerate(one.keyed):
+            if part in late:
+                per_keys = self.with_owner(per_keys, part, f"_key_{i}")
+        if len(sets) > 1:
+            per_keys = self.per_key(per_keys, dims, sets, one)
+        return per_keys.groupBy(*dims).agg(*final, *self.resums(one.summed))
+
+    def reference(self, owner: str) -> Column:
+        hop = self.hops[owner]
+        return F.col(_source(hop.parent, hop.parent_field))
+
+    def with_owner(self, per_keys: DataFrame, part: _Keyed, key: str) -> DataFrame:
+        """Join an owner by the grouped column that refers to it: one row moves per group and reference, not every row."""
         owner = self.rows(part.owner, {part.owner}, part.owner)
-        joined = per_key.join(owner, F.col("_reference") == F.col(_source(part.owner, hop.child_field)), "left")
-        final = [c for n in part.keyed for c in self.aggregates(n, self.value(n))]
-        return joined.groupBy(*dims).agg(*final, *self.resums(part.summed))
+        joined = per_keys.join(owner, F.col(key) == F.col(_source(part.owner, self.hops[part.owner].child_field)), "left")
+        return joined.withColumns({f"_value_{output_name(n)}": self.value(n) for n in part.names}).drop(*owner.columns)
+
+    def per_key(self, per_keys: DataFrame, dims: list[str], sets: list[list[str]], one: _Pass) -> DataFrame:
+        """One row per group and key of each set; the columns of the other sets are NULL in it.
+
+        The partial sums stand in the rows of the first set alone.
+        """
+        flags = [f"_flag_{output_name(n)}" for part in one.keyed for n in part.names if self.is_distinct(n)]
+        sums = self.resums(one.summed)
+        columns = [*dims, *[c for s in sets for c in s]]
+        rolled = per_keys.groupingSets([[F.col(c) for c in (*dims, *s)] for s in sets], *columns).agg(
+            F.grouping("_key_0").alias("_other"), *[F.max(c).alias(c) for c in flags], *sums)
+        names = self.partial_names(one.summed)
+        return rolled.withColumns({c: F.when(F.col("_other") == 0, F.col(c)) for c in names}) if names else rolled
 
     def aggregates(self, name: str, value: Column) -> list[Column]:
         out, kind = output_name(name), self.model.field_of(name).kind
@@ -283,14 +311,16 @@ class TopicQuery:
     def sums(self, names: Sequence[str]) -> list[Column]:
         return [c for n in names for c in self.aggregates(n, self.value(n))]
 
-    def resums(self, names: Sequence[str]) -> list[Column]:
-        """Totals of the partial sums; the same columns under the same names."""
-        total: list[Column] = []
+    def partial_names(self, names: Sequence[str]) -> list[str]:
+        found: list[str] = []
         for n in names:
             out, kind = output_name(n), self.model.field_of(n).kind
-            columns = [out] if kind in ("count", "sum") else [f"{out}__sum", f"{out}__n"]
-            total += [F.sum(c).alias(c) for c in columns]
-        return total
+            found += [out] if kind in ("count", "sum") else [f"{out}__sum", f"{out}__n"]
+        return found
+
+    def resums(self, names: Sequence[str]) -> list[Column]:
+        """Totals of the partial sums; the same columns under the same names."""
+        return [F.sum(c).alias(c) for c in self.partial_names(names)]
 
     def result(self, name: str) -> Column:
         """A measure as a Column over the grouped columns."""
@@ -306,11 +336,11 @@ class TopicQuery:
     def run(self) -> DataFrame:
         dims = [output_name(n) for n in self.dims]
         if not self.measures:
-            return self.joined(_Part(self.topic.base)).select(*dims).distinct()
-        grouped = [self.grouped(p) for p in self.parts()]
+            return self.joined(_Pass(self.topic.base)).select(*dims).distinct()
+        grouped = [self.grouped(p) for p in self.passes()]
         df = grouped[0]
         if len(grouped) > 1:
-            # Each part holds the same groups and its own columns.
+            # Each pass holds the same groups and its own columns.
             for other in grouped[1:]:
                 df = df.unionByName(other, allowMissingColumns=True)
             df = df.groupBy(*dims).agg(*[F.max(c).alias(c) for c in df.columns if c not in dims])

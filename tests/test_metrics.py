@@ -48,6 +48,29 @@ def test_two_one_to_many_views_do_not_multiply(spark, sf_dir, ask):
         orders.filter("status = 'Returned'").count() / orders.count())
 
 
+@pytest.mark.parametrize("topic, fields, scans", [
+    # Lines are read as order items; ``orders`` is read with them for their dates, and as a view of its own.
+    ("orders", "products.category users.count users.average_age orders.average_days_to_deliver orders.customer_count "
+               "order_items.net_revenue", {"lineitem": 1, "orders": 2, "part": 1, "customer": 1}),
+    ("inventory", "distribution_centers.name inventory_items.count products.count products.brand_count",
+     {"lineitem": 1, "part": 1, "supplier": 1})])
+def test_every_table_is_read_once_for_all_keys(ask, topic, fields, scans):
+    plan = ask(topic, fields)._jdf.queryExecution().executedPlan().toString()
+    assert {name: plan.count(f"/{name}.parquet") for name in scans} == scans
+
+
+def test_a_missing_key_and_a_late_join_count_as_in_sql(spark, sf_dir, ask):
+    found = ask("orders", "users.gender inventory_items.total_cost_of_sold orders.count products.count users.count")
+    items = retail.order_items(spark, sf_dir)
+    users = retail.users(spark, sf_dir).select(F.col("id").alias("user_id"), "gender")
+    stock = retail.inventory_items(spark, sf_dir).select(F.col("id").alias("inventory_item_id"), "cost", "sold_at")
+    wide = items.join(users, "user_id", "left").join(stock, "inventory_item_id", "left")
+    expected = wide.groupBy("gender").agg(
+        F.sum(F.when(F.col("sold_at").isNotNull(), F.col("cost"))), F.count_distinct("order_id"),
+        F.count_distinct("product_id"), F.count_distinct(F.when(F.col("gender").isNotNull(), F.col("user_id"))))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, map(tuple, expected.collect())))
+
+
 def test_dimension_of_one_many_view_with_measure_of_another(spark, sf_dir, ask):
     found = {r.orders_created_at_year: (r.users_count, r.events_session_count) for r in ask(
         "customers", "orders.created_at[year] users.count events.session_count").collect()}
