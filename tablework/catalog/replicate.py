@@ -12,6 +12,7 @@ from tablework.catalog.base import query
 from tablework.operators.merge import keys_gone_from_source, merge_upsert
 from tablework.plans import replicate
 from tablework.session import work_path
+from tablework.sinks.folders import read_current
 from tablework.sources import retail
 
 NOW = dt.datetime(2001, 8, 2)
@@ -117,7 +118,7 @@ def _(spark, sf_dir):
     for _ in range(2):
         changes = replicate.changed_rows(orders, ORDERS, replicate.EPOCH)
         replicate.upsert_into(spark, f"{root}/orders", replicate.one_per_key(changes, ORDERS), ["order_id"], 8)
-    return spark.read.parquet(f"{root}/orders").select(*ORDERS.columns)
+    return read_current(spark, f"{root}/orders", orders.select(*ORDERS.columns).schema)
 
 
 @query("sync_report", sql.with_ctes(sql.USERS, sql.PRODUCTS, body="""

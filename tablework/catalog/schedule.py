@@ -12,6 +12,7 @@ from tablework.catalog.retail import DAILY_SALES, NEXT_RUN
 from tablework.functions.clock import local_date, scheduled_at
 from tablework.plans import schedule
 from tablework.session import work_path
+from tablework.sinks.folders import read_current
 from tablework.sources import retail
 
 JOB = schedule.DailyJob("daily_sales_rollup")
@@ -84,4 +85,4 @@ def _(spark, sf_dir):
     for now in (RERUN_AT, RERUN_AT + dt.timedelta(hours=1)):
         schedule.run_daily_job(spark, JOB, now, log,
                                lambda day: schedule.load_daily_sales(items, path, day, JOB.tz))
-    return spark.read.schema(schedule.DAILY_SALES_SCHEMA).parquet(path).drop("sales_month")
+    return read_current(spark, path, schedule.DAILY_SALES_SCHEMA)

@@ -14,13 +14,13 @@ from tablework.operators.joins import lookup
 from tablework.operators.versions import latest_version
 from tablework.plans.replicate import read_table
 from tablework.plans.sales import daily_sales, daily_sales_of
-from tablework.session import work_path
-from tablework.sinks.tables import overwrite_partitions
+from tablework.sinks.folders import Manifest, read_manifest, read_parts, replace_parts
 
 RUN_LOG_SCHEMA = ("job_name string, run_date date, scheduled_at timestamp, started_at timestamp, "
                   "status string, logged_at timestamp")
 DAILY_SALES_SCHEMA = "sales_date date, orders bigint, net_revenue decimal(18,2)"
 DONE_OR_BUSY = ("running", "success")
+MONTHS = {"column": "sales_month"}
 
 
 @dataclass(frozen=True)
@@ -98,21 +98,17 @@ def run_daily_job(spark: SparkSession, job: DailyJob, now: dt.datetime, log_path
 def backfill_daily_sales(items: DataFrame, path: str, tz: str) -> None:
     """Load every local date. The table has one row a day, so a folder holds a month."""
     rows = daily_sales(items, tz).withColumn("sales_month", F.to_date(F.trunc("sales_date", "MM")))
-    overwrite_partitions(rows, path, "sales_month")
+    replace_parts(rows, path, "sales_month", read_manifest(items.sparkSession, path) or Manifest(MONTHS))
 
 
 def load_daily_sales(items: DataFrame, path: str, day: dt.date, tz: str) -> None:
     """Replace one local date: its old row goes, also when the day has no sales.
 
-    The month is at most 31 rows. It is written to the shared folder first, as
-    a folder cannot be read while it is replaced.
+    The month, at most 31 rows, is written anew beside the old one, which stays
+    the table's until one rename puts the new one in its place.
     """
-    spark = items.sparkSession
-    folder = f"{path}/sales_month={day.replace(day=1).isoformat()}"
-    rows = daily_sales_of(items, day, tz)
-    month = read_table(spark, folder, DAILY_SALES_SCHEMA)
-    if month is not None:
-        rows = month.filter(F.col("sales_date") != F.lit(day)).unionByName(rows)
-    staged = work_path(spark, "month")
-    rows.write.parquet(staged)
-    spark.read.schema(DAILY_SALES_SCHEMA).parquet(staged).write.mode("overwrite").parquet(folder)
+    spark, month = items.sparkSession, day.replace(day=1)
+    current = read_manifest(spark, path) or Manifest(MONTHS)
+    old = read_parts(spark, path, DAILY_SALES_SCHEMA, current, [month.isoformat()])
+    rows = old.filter(F.col("sales_date") != F.lit(day)).unionByName(daily_sales_of(items, day, tz))
+    replace_parts(rows.withColumn("sales_month", F.lit(month)), path, "sales_month", current, gone=[month.isoformat()])

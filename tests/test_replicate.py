@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tablework.operators.merge import keys_gone_from_source, merge_upsert
 from tablework.plans import replicate
+from tablework.sinks import folders
+from tablework.sinks.folders import read_current
 
 SCHEMA = "id bigint, status string, created_at timestamp, shipped_at timestamp"
 NOW = dt.datetime(2026, 1, 10)
@@ -33,7 +35,7 @@ def synced(spark, source, root, table=None, **options):
 
 
 def target(spark, root):
-    return {r.id: r.status for r in spark.read.parquet(f"{root}/orders").collect()}
+    return {r.id: r.status for r in read_current(spark, f"{root}/orders", SCHEMA).collect()}
 
 
 def test_runs_pick_up_new_rows_changes_and_late_rows(spark, tmp_path):
@@ -63,7 +65,7 @@ def test_running_twice_is_running_once(spark, tmp_path):
     synced(spark, rows, root)
     once = target(spark, root)
     synced(spark, rows, root)
-    assert target(spark, root) == once and spark.read.parquet(f"{root}/orders").count() == 50
+    assert target(spark, root) == once and read_current(spark, f"{root}/orders", SCHEMA).count() == 50
 
 
 def test_two_versions_of_a_key_in_one_batch(spark, tmp_path):
@@ -78,7 +80,7 @@ def test_full_mode_keeps_rows_gone_from_the_source(spark, tmp_path):
     report = synced(spark, source_of(spark, (2, "c", None, None)), root, full)
     assert target(spark, root) == {1: "a", 2: "c"} and report.new_watermark is None
     assert replicate.read_watermark(spark, root, "orders") == NOW
-    gone = keys_gone_from_source(spark.read.parquet(f"{root}/orders"), source_of(spark, (2, "c", None, None)), ["id"])
+    gone = keys_gone_from_source(read_current(spark, f"{root}/orders", SCHEMA), source_of(spark, (2, "c", None, None)), ["id"])
     assert [r.id for r in gone.collect()] == [1]
 
 
@@ -131,9 +133,48 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     root = str(tmp_path)
     rows = source_of(spark, *[(i, "a", "2026-01-01", None) for i in range(100)])
     replicate.upsert_into(spark, f"{root}/t", rows, ["id"], 16)
-    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/_bucket=*/*.parquet")}
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/*/_bucket=*/*.parquet")}
     replicate.upsert_into(spark, f"{root}/t", rows.filter(F.col("id") == 7).withColumn("status", F.lit("b")), ["id"], 16)
-    after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/_bucket=*/*.parquet")}
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/*/_bucket=*/*.parquet")}
     assert len({p.parent for p in set(before) ^ set(after)}) == 1
-    assert spark.read.parquet(f"{root}/t").filter("status = 'b'").count() == 1
-    assert spark.read.parquet(f"{root}/t").count() == 100
+    assert read_current(spark, f"{root}/t", SCHEMA).filter("status = 'b'").count() == 1
+    assert read_current(spark, f"{root}/t", SCHEMA).count() == 100
+
+
+@pytest.mark.parametrize("step", ["spread_by", "_children", "_write_text", "_rename_over"])
+@pytest.mark.parametrize("new", [True, False])
+def test_an_upsert_that_stops_changes_nothing_and_can_be_repeated(spark, tmp_path, monkeypatch, step, new):
+    path = f"{tmp_path}/t"
+    rows = source_of(spark, *[(i, "a", "2026-01-01", None) for i in range(20)])
+    if not new:
+        replicate.upsert_into(spark, path, rows, ["id"], 4)
+    before = read_current(spark, path, SCHEMA).collect()
+    changes = rows.filter("id < 3").withColumn("status", F.lit("b"))
+
+    def stop(*args):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="stopped"):
+        patch.setattr(folders, step, stop)
+        replicate.upsert_into(spark, path, changes, ["id"], 4)
+    assert sorted(read_current(spark, path, SCHEMA).collect()) == sorted(before)
+    for _ in range(2):
+        replicate.upsert_into(spark, path, changes, ["id"], 4)
+    expected = {**{r.id: "a" for r in before}, 0: "b", 1: "b", 2: "b"}
+    assert sorted((r.id, r.status) for r in read_current(spark, path, SCHEMA).collect()) == sorted(expected.items())
+    folders.drop_unlisted(spark, path)
+    assert read_current(spark, path, SCHEMA).count() == len(expected) and folders.drop_unlisted(spark, path) == []
+
+
+def test_a_table_keeps_its_number_of_buckets_and_its_key(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = source_of(spark, *[(i, "a", "2026-01-01", None) for i in range(50)])
+    replicate.upsert_into(spark, path, rows, ["id"], 4)
+    replicate.upsert_into(spark, path, rows.withColumn("status", F.lit("b")), ["id"], 16)
+    assert read_current(spark, path, SCHEMA).count() == 50 and len(folders.read_manifest(spark, path).folders) <= 4
+    with pytest.raises(ValueError, match="has the key"):
+        replicate.upsert_into(spark, path, rows, ["status"], 4)
+    with pytest.raises(ValueError, match="without a key"):
+        replicate.upsert_into(spark, path, source_of(spark, (None, "a", "2026-01-01", None)), ["id"], 4)
+    replicate.upsert_into(spark, path, rows.filter("false"), ["id"], 4)
+    assert {r.status for r in read_current(spark, path, SCHEMA).collect()} == {"b"}

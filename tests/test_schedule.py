@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tablework.functions.clock import instant
 from tablework.plans import schedule
+from tablework.sinks import folders
+from tablework.sinks.folders import read_current
 
 JOB = schedule.DailyJob("rollup")
 DAY = dt.date(2026, 3, 8)  # 06:00 in New York is 10:00 UTC
@@ -59,7 +61,7 @@ def test_reloading_a_day_replaces_it_and_an_empty_day_clears_it(spark, tmp_path)
 
     def table():
         return {str(r.sales_date): float(r.net_revenue)
-                for r in spark.read.schema(schedule.DAILY_SALES_SCHEMA).parquet(path).collect()}
+                for r in read_current(spark, path, schedule.DAILY_SALES_SCHEMA).collect()}
 
     schedule.backfill_daily_sales(items((1, "2026-03-07 12:00", 5), (2, "2026-03-06 12:00", 7)), path, JOB.tz)
     assert table() == {"2026-03-07": 5.0, "2026-03-06": 7.0}
@@ -70,3 +72,28 @@ def test_reloading_a_day_replaces_it_and_an_empty_day_clears_it(spark, tmp_path)
     assert table() == {"2026-03-06": 7.0}
     schedule.load_daily_sales(items((9, "2026-04-02 12:00", 1)), path, dt.date(2026, 4, 2), JOB.tz)
     assert table() == {"2026-03-06": 7.0, "2026-04-02": 1.0}
+
+
+@pytest.mark.parametrize("step", ["spread_by", "_children", "_write_text", "_rename_over"])
+def test_a_daily_load_that_stops_changes_nothing(spark, tmp_path, monkeypatch, step):
+    path, day = str(tmp_path / "sales"), dt.date(2026, 3, 7)
+
+    def items(price):
+        at = [dt.datetime(2026, 3, d, 12, tzinfo=dt.timezone.utc) for d in (6, 7)]
+        return spark.createDataFrame([(i, "Complete", t, price) for i, t in enumerate(at)],
+                                     "order_id bigint, status string, created_at timestamp, sale_price int")
+
+    def table():
+        return {str(r.sales_date): float(r.net_revenue)
+                for r in read_current(spark, path, schedule.DAILY_SALES_SCHEMA).collect()}
+
+    def stop(*args):
+        raise RuntimeError("stopped")
+
+    schedule.backfill_daily_sales(items(5), path, JOB.tz)
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="stopped"):
+        patch.setattr(folders, step, stop)
+        schedule.load_daily_sales(items(6), path, day, JOB.tz)
+    assert table() == {"2026-03-06": 5.0, "2026-03-07": 5.0}
+    schedule.load_daily_sales(items(6), path, day, JOB.tz)
+    assert table() == {"2026-03-06": 5.0, "2026-03-07": 6.0}
