@@ -201,7 +201,11 @@ class Flow:
 
 
 def _span(value: str | None) -> int:
-    return max(1, min(int(value), 1000)) if value and value.isdigit() else 1
+    """The columns of a cell. HTML itself allows 1,000 at most; anything but ASCII digits counts as one column."""
+    if not value or not (value.isascii() and value.isdigit()):
+        return 1
+    digits = value.lstrip("0")
+    return 1000 if len(digits) > 4 else max(1, min(int(digits or 0), 1000))
 
 
 def aligned(rows: list[list[tuple[str, int]]]) -> str:
