@@ -136,14 +136,15 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         total = np.zeros(0, np.int64)
         for batch in batches:
             found = np.bincount(_ids_of(batch))
+            if len(found) > MAX_VOCABULARY:
+                raise ValueError(f"token id {len(found) - 1}: the files take ids below {MAX_VOCABULARY}")
             if len(found) > len(total):
                 total, found = found, total
             total[:len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
-    counts = encoded.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).where(
-        F.col("id") < MAX_VOCABULARY).collect()  # one row per token id
+    counts = encoded.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row per token id
     total = np.zeros(max([r["id"] for r in counts], default=0) + 1, np.int64)
     for r in counts:
         total[r["id"]] = r["n"]
