@@ -99,6 +99,12 @@ def block_of(texts) -> Block:
     return Block(raw, bounds - bounds[0])
 
 
+def runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``begin[i]`` to ``begin[i] + size[i]`` of all i in a row."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
+
+
 def words_of(block: Block, word_byte: np.ndarray = _IS_WORD_BYTE) -> Spans:
     """Maximal runs of bytes that ``word_byte`` marks; the default splits at ASCII blanks."""
     inside = word_byte[block.data]

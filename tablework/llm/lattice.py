@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from tablework.llm.hashing import Spans, mix
+from tablework.llm.hashing import Spans, mix, runs
 
 U64 = np.uint64
 _BASE = U64(0xD1342543DE82EF95)
@@ -23,6 +23,8 @@ SPACE = "▁"
 FLAT = 50.0
 #: Nodes of the strings whose lattices are built together.
 _GROUP = 1 << 15
+#: Edges that a worker remembers from block to block, about 30 bytes each.
+_MEMORY_EDGES = 5_000_000
 
 
 def _ladder(base: np.uint64, n: int) -> np.ndarray:
@@ -67,6 +69,8 @@ class Pieces:
         rank = np.arange(size, dtype=np.float64)
         self.weight = -np.log(rank + FLAT)
         self.weight -= np.log(np.exp(self.weight).sum())
+        # Sums of byte weights are differences of running sums: these are exact, wherever a string lies in its block.
+        self.weight[fallback] = np.round(self.weight[fallback] * (1 << 24)) / (1 << 24)
         self.longest = max(map(len, words))
         self.lengths = np.unique([len(w) for w in words])
         self._place(_hash_each(words), np.array(ids))
@@ -111,16 +115,6 @@ class Pieces:
         return [data[a + 1:b] if b > a else b"" for a, b in zip(at[:-1], at[1:])]
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
-def pieces(path: str) -> Pieces:
-    """One vocabulary per worker process."""
-    if path not in _PIECES:
-        _PIECES[path] = Pieces(os.fspath(path))
-    return _PIECES[path]
-
-
 def split(data: np.ndarray, bounds: np.ndarray) -> Spans:
     """Strings between which no piece can lie: cut before blanks that follow other bytes, and around line feeds."""
     blank, feed = data == 0x20, data == 0x0A
@@ -136,7 +130,12 @@ def split(data: np.ndarray, bounds: np.ndarray) -> Spans:
 
 @dataclass
 class Lattice:
-    """Edges in node order; node ``start[k] + i`` is byte i of string k, ``share`` the chance of an edge at its node."""
+    """Edges in node order; node ``start[k] + i`` is byte i of string k, ``share`` the chance of an edge at its node.
+
+    ``upto`` sums the shares of a node from its first edge on. ``piece`` is -1
+    for a character of several bytes without a piece. The last node of a
+    string is the only target without edges.
+    """
 
     start: np.ndarray
     text: np.ndarray
@@ -152,19 +151,42 @@ class Lattice:
         """Lattices of the given byte spans, built by groups of strings so that working arrays stay small."""
         group = np.cumsum(stops - starts + 1) // _GROUP
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
-        parts, nodes, edges = [], 0, 0
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            begin, text, first, origin, target, piece, share = cls._group(pieces, data, starts[a:b], stops[a:b])
-            parts.append((begin[:-1] + nodes, text, first[:-1] + edges, (origin + nodes).astype(np.int32),
-                          (target + nodes).astype(np.int32), piece.astype(np.int32), share))
-            nodes, edges = nodes + len(text), edges + len(origin)
-        begin, text, first, origin, target, piece, share = (np.concatenate(column) for column in zip(*parts))
-        return cls(np.append(begin, nodes), text, np.append(first, edges), origin, target, piece, share,
-                   np.cumsum(share))
+        return cls.joined([cls._group(pieces, data, starts[a:b], stops[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+
+    @classmethod
+    def joined(cls, parts: list[Lattice]) -> Lattice:
+        nodes = np.cumsum([0] + [len(p.text) for p in parts])
+        edges = np.cumsum([0] + [len(p.origin) for p in parts])
+        return cls(np.concatenate([p.start[:-1] + n for p, n in zip(parts, nodes)] + [nodes[-1:]]),
+                   np.concatenate([p.text for p in parts]),
+                   np.concatenate([p.first[:-1] + e for p, e in zip(parts, edges)] + [edges[-1:]]),
+                   np.concatenate([p.origin + np.int32(n) for p, n in zip(parts, nodes)]),
+                   np.concatenate([p.target + np.int32(n) for p, n in zip(parts, nodes)]),
+                   *[np.concatenate([getattr(p, f) for p in parts]) for f in ("piece", "share", "upto")])
+
+    def only(self, strings: np.ndarray) -> Lattice:
+        """The lattices of these strings, in their order."""
+        begin, size = self.start[strings], self.start[strings + 1] - self.start[strings]
+        nodes = runs(begin, size)
+        start = np.concatenate([[0], np.cumsum(size)])
+        at, many = self.first[begin], self.first[begin + size] - self.first[begin]
+        edges = runs(at, many)
+        shift = np.repeat(start[:-1] - begin, many).astype(np.int32)
+        first = np.concatenate([[0], np.cumsum(self.first[nodes + 1] - self.first[nodes])])
+        return Lattice(start, self.text[nodes], first, self.origin[edges] + shift, self.target[edges] + shift,
+                       self.piece[edges], self.share[edges], self.upto[edges])
+
+    def degree(self, edges: np.ndarray) -> np.ndarray:
+        """How many edges leave the node that each of ``edges`` leaves."""
+        origin = self.origin[edges]
+        return self.first[origin + 1] - self.first[origin]
+
+    def is_last(self, nodes: np.ndarray) -> np.ndarray:
+        return self.first[nodes] == self.first[nodes + 1]
 
     @staticmethod
-    def _group(pieces: Pieces, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The fields of one group's lattice. A character that is no piece gets an edge of its byte pieces."""
+    def _group(pieces: Pieces, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> Lattice:
+        """The lattice of one group. A character that is no piece gets an edge of its byte pieces."""
         size = stops - starts
         begin = np.concatenate([[0], np.cumsum(size + 1)])  # one node more than bytes
         n = int(begin[-1])
@@ -205,7 +227,8 @@ class Lattice:
         weight[len(o):] = bytes_weight[ends[bare]] - bytes_weight[begins[bare]]
         origin = np.concatenate([o, begins[bare]])
         target = np.concatenate([t, ends[bare]])
-        piece = np.concatenate([np.concatenate(found), np.full(int(bare.sum()), -1)])
+        single = ends[bare] - begins[bare] == 1
+        piece = np.concatenate([*found, np.where(single, pieces.fallback[text[begins[bare]]], -1)])
 
         # Sixteen-bit keys are sorted in linear time; only a group of one very long string needs wider ones.
         key = np.uint16 if n <= 1 << 16 else np.int64
@@ -225,7 +248,15 @@ class Lattice:
             mass[node_of[heads]] = top + np.log(np.add.reduceat(np.exp(value - spread), heads))
 
         share = np.exp(weight + mass[target] - mass[origin])
-        return begin, text, np.searchsorted(origin, np.arange(n + 1)), origin, target, piece, share
+        first = np.searchsorted(origin, np.arange(n + 1))
+        upto = share.copy()
+        open_ = first[:-1][np.diff(first) > 1]
+        last = first[1:][np.diff(first) > 1] - 1
+        while len(open_):  # nodes have few edges
+            upto[open_ + 1] += upto[open_]
+            open_, last = open_[open_ + 1 < last] + 1, last[open_ + 1 < last]
+        return Lattice(begin, text, first, origin.astype(np.int32), target.astype(np.int32), piece.astype(np.int32),
+                       share, upto)
 
     def draw(self, nodes: np.ndarray, ends: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Random paths from ``nodes`` to ``ends``: all edges in a row, and where each path's edges begin."""
@@ -234,14 +265,13 @@ class Lattice:
         at, step = nodes[going], 0
         while len(going):
             lo, hi = self.first[at], self.first[at + 1]
-            base = np.where(lo > 0, self.upto[lo - 1], 0.0)
-            goal = base + uniform(seeds[going], step) * (self.upto[hi - 1] - base)
-            edge = lo.copy()
-            open_ = np.flatnonzero((self.upto[edge] <= goal) & (edge < hi - 1))
-            while len(open_):  # nodes have few edges
-                edge[open_] += 1
-                here = edge[open_]
-                open_ = open_[(self.upto[here] <= goal[open_]) & (here < hi[open_] - 1)]
+            goal = uniform(seeds[going], step) * self.upto[hi - 1]
+            edge = hi - 1  # the longest piece is the likeliest
+            open_ = np.flatnonzero(edge > lo)
+            while len(open_):
+                open_ = open_[self.upto[edge[open_] - 1] > goal[open_]]
+                edge[open_] -= 1
+                open_ = open_[edge[open_] > lo[open_]]
             rows.append(going)
             edges.append(edge)
             at, step = self.target[edge], step + 1
@@ -257,7 +287,81 @@ class Lattice:
         return out, first
 
 
+class Memory:
+    """The lattices of strings that a worker has met; those that most blocks had use for stay longest."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.lattice = Lattice.build(pieces, np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.hashes, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.blocks = np.zeros(0, np.int64)
+
+    def places(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Where the strings lie in ``lattice``; their hashes are distinct and ascend.
+
+        A remembered string counts only if its bytes are equal.
+        """
+        if len(self.lattice.origin) > _MEMORY_EDGES:
+            self._forget()
+        at = np.searchsorted(self.hashes, hashes)
+        listed = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        listed[inside] = self.hashes[at[inside]] == hashes[inside]
+        out = np.full(len(hashes), -1)
+        out[listed] = self.place[at[listed]]
+        out[self._differ(out, data, starts, stops)] = -1
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            out[new] = len(self.blocks) + np.arange(len(new))
+            self.lattice = Lattice.joined([self.lattice, Lattice.build(self.pieces, data, starts[new], stops[new])])
+            self.blocks = np.append(self.blocks, np.zeros(len(new), np.int64))
+            fresh = new[~listed[new]]
+            self.hashes = np.insert(self.hashes, at[fresh], hashes[fresh])
+            self.place = np.insert(self.place, at[fresh], out[fresh])
+        self.blocks[out] += 1
+        return out
+
+    def _differ(self, place: np.ndarray, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        known = np.flatnonzero(place >= 0)
+        begin = self.lattice.start[place[known]]
+        size = self.lattice.start[place[known] + 1] - 1 - begin
+        longer = size != stops[known] - starts[known]
+        size[longer] = 0
+        unequal = data[runs(starts[known], size)] != self.lattice.text[runs(begin, size)]
+        return np.concatenate([known[longer], known[np.unique(np.repeat(np.arange(len(known)), size)[unequal])]])
+
+    def _forget(self) -> None:
+        edges = self.lattice.first[self.lattice.start]
+        order = np.argsort(-self.blocks, kind="stable")
+        room = np.cumsum(np.diff(edges)[order]) <= _MEMORY_EDGES // 2
+        keep = np.sort(order[room])
+        keep = keep[np.isin(keep, self.place)]
+        number = np.full(len(self.blocks), -1)
+        number[keep] = np.arange(len(keep))
+        self.lattice, self.blocks = self.lattice.only(keep), self.blocks[keep]
+        stay = number[self.place] >= 0
+        self.hashes, self.place = self.hashes[stay], number[self.place[stay]]
+
+
 def uniform(seeds: np.ndarray, step: int) -> np.ndarray:
     """Numbers in (0, 1) that hang on the seeds alone."""
     bits = mix(seeds + U64((step + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
     return ((bits >> U64(11)).astype(np.float64) + 0.5) / (1 << 53)
+
+
+_PIECES: dict[str, Pieces] = {}
+_MEMORIES: dict[str, Memory] = {}
+
+
+def pieces(path: str) -> Pieces:
+    """One vocabulary per worker process."""
+    if path not in _PIECES:
+        _PIECES[path] = Pieces(os.fspath(path))
+    return _PIECES[path]
+
+
+def memory(path: str) -> Memory:
+    """One memory per worker process."""
+    if path not in _MEMORIES:
+        _MEMORIES[path] = Memory(pieces(path))
+    return _MEMORIES[path]

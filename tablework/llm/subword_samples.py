@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.llm.hashing import Spans, block_of, cut, mix, span_hashes
-from tablework.llm.lattice import Lattice, Pieces, pieces, split, uniform
+from tablework.llm.hashing import Spans, block_of, cut, mix, runs, span_hashes
+from tablework.llm.lattice import Lattice, Memory, Pieces, memory, pieces, split, uniform
 from tablework.llm.tables import key_columns
 
 SAMPLES = 2
@@ -42,10 +42,10 @@ def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES, decoded:
     Other columns are not looked at.
     """
     def sample(batches):
-        vocabulary = pieces(model)
+        vocabulary, known = pieces(model), memory(model)
         for batch in batches:
             for table in cut(pa.Table.from_batches([batch]), "text", _BLOCK):
-                rows = _sample_block(vocabulary, table, samples)
+                rows = _sample_block(known, table, samples)
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), (
                     pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
                 names = _NAMES
@@ -118,17 +118,17 @@ def _gumbel_below(mass: np.ndarray, top, u: np.ndarray) -> np.ndarray:
         return np.where(mass > -np.inf, mass - np.log(np.exp(mass - top) - np.log(u)), -np.inf)
 
 
-def _sample_block(vocabulary: Pieces, table: pa.Table, samples: int) -> list[tuple]:
+def _sample_block(known: Memory, table: pa.Table, samples: int) -> list[tuple]:
     data, bounds = _with_blank(table.column("text"))
     strings = split(data, bounds)
     doc_ids = table.column("doc_id").to_pylist()
     keys = mix(table.column("key_a").to_numpy().view(np.uint64))
     if not len(strings.starts):
         return [(d, 1, b"", 0, 0.0, 0.0, 1.0) for d in doc_ids]
-    _, once, kind = np.unique(span_hashes(data, strings.starts, strings.stops - strings.starts),
-                              return_index=True, return_inverse=True)
-    lattice = Lattice.build(vocabulary, data, strings.starts[once], strings.stops[once])
-    walk = _Walk(lattice, strings, kind, keys)
+    hashes, once, kind = np.unique(span_hashes(data, strings.starts, strings.stops - strings.starts),
+                                   return_index=True, return_inverse=True)
+    places = known.places(hashes, data, strings.starts[once], strings.stops[once])
+    walk = _Walk(known.lattice, known.pieces, strings, places[kind], keys)
     texts = [_Text() for _ in doc_ids]
     filled = np.flatnonzero(np.diff(strings.first) > 0)
     top = -np.log(-np.log(uniform(keys, 0)))
@@ -140,14 +140,13 @@ def _sample_block(vocabulary: Pieces, table: pa.Table, samples: int) -> list[tup
         if not start:
             break
     rows = []
-    flat_bytes = walk.byte_edges(vocabulary)
     for d, text in enumerate(texts):
         if not text.paths:
             rows.append((doc_ids[d], 1, b"", 0, 0.0, 0.0, 1.0))
             continue
         bar = -text.heap[0][0] if text.heap else -np.inf
         for rank, (edges, value, log_prob) in enumerate(text.paths):
-            ids = flat_bytes(edges)
+            ids = walk.ids(edges)
             inclusion = 1.0 if bar == -np.inf else float(-np.expm1(-np.exp(log_prob - bar)))
             rows.append((doc_ids[d], rank + 1, ids.astype("<u4").tobytes(), len(ids), log_prob, value, inclusion))
     return rows
@@ -156,18 +155,16 @@ def _sample_block(vocabulary: Pieces, table: pa.Table, samples: int) -> list[tup
 class _Walk:
     """Paths through the texts of one block."""
 
-    def __init__(self, lattice: Lattice, strings: Spans, kind: np.ndarray, keys: np.ndarray):
-        self.lattice, self.strings = lattice, strings
+    def __init__(self, lattice: Lattice, vocabulary: Pieces, strings: Spans, kind: np.ndarray, keys: np.ndarray):
+        self.lattice, self.fallback, self.strings = lattice, vocabulary.fallback, strings
         self.nodes, self.ends = lattice.start[kind], lattice.start[kind + 1] - 1
         owner = strings.owner()
         place = np.arange(len(kind)) - np.repeat(strings.first[:-1], np.diff(strings.first))
         self.seeds = mix(keys[owner] + mix(place.astype(np.uint64) + U64(1)))
         self.keys = keys
-        self.log_share = np.log(np.maximum(lattice.share, 1e-300))
-        with np.errstate(divide="ignore"):
-            self.log_rest = np.log(np.maximum(1.0 - lattice.share, 0.0))
-        self.alone = np.diff(lattice.first)[lattice.origin] == 1
-        self.string_of = np.repeat(np.arange(len(lattice.start) - 1, dtype=np.int32), np.diff(lattice.start))
+
+    def log_share(self, edges: np.ndarray) -> np.ndarray:
+        return np.log(np.maximum(self.lattice.share[edges], 1e-300))
 
     def take(self, start: dict, texts: list[_Text], rank: int, most: int) -> None:
         """Draw the next path of each text in ``start``: (value, parent edges, string to go on in, node)."""
@@ -181,24 +178,32 @@ class _Walk:
         idle = ~np.repeat(active, np.diff(self.strings.first))
         nodes[idle] = self.ends[idle]
         drawn, first = self.lattice.draw(nodes, self.ends, mix(self.seeds + U64(rank + 1)))
-        spots = np.zeros(0, np.uint64)
-        for d, (value, parent, string, _) in start.items():
-            lo, hi = first[self.strings.first[d]], first[self.strings.first[d + 1]]
-            fresh = drawn[lo:hi]
-            edges = fresh if parent is None else np.concatenate([parent, fresh])
-            known = len(edges) - len(fresh)
-            logs = self.log_share[edges]
-            before = np.concatenate([[0.0], np.cumsum(logs)])
-            rest = self.log_rest[edges[known:]]
-            # An edge without a sibling leaves nothing, whatever rounding says.
-            mass = np.where(self.alone[edges[known:]], -np.inf, before[known:-1] + rest)
-            at = np.arange(known, len(edges))
-            if len(spots) < len(edges):
-                spots = mix(np.arange(2 * len(edges), dtype=np.uint64) + U64((rank + 1) << 40))
-            u = uniform(mix(self.keys[d] + spots[known:len(edges)]), 1)
-            text = texts[d]
-            text.offer(len(text.paths), at, _gumbel_below(mass, value, u), mass, most)
-            text.paths.append((edges, value, float(before[-1])))
+        bounds, logs = first[self.strings.first], self.log_share(drawn)
+        # Of every fresh edge: the log share of the path before it, then of leaving there.
+        mass, known = np.zeros(len(drawn)), np.zeros(len(active), np.int64)
+        for d, (value, parent, *_) in start.items():
+            lo, hi = bounds[d], bounds[d + 1]
+            fresh = logs[lo:hi]
+            edges = drawn[lo:hi] if parent is None else np.concatenate([parent, drawn[lo:hi]])
+            known[d] = len(edges) - len(fresh)
+            before = np.cumsum(fresh if parent is None else np.concatenate([self.log_share(parent), fresh]))
+            if len(fresh):
+                mass[lo + 1:hi] = before[known[d]:-1]
+                mass[lo] = before[known[d] - 1] if known[d] else 0.0
+            texts[d].paths.append((edges, value, float(before[-1])))
+        # An edge without a sibling leaves nothing, whatever rounding says.
+        alone = self.lattice.degree(drawn) == 1
+        with np.errstate(divide="ignore"):
+            mass += np.where(alone, -np.inf, np.log(np.maximum(1.0 - self.lattice.share[drawn], 0.0)))
+        size = np.diff(bounds)
+        owner, at = np.repeat(np.arange(len(active)), size), runs(known, size)
+        tops = np.zeros(len(active))
+        tops[list(start)] = [value for value, *_ in start.values()]
+        u = uniform(mix(self.keys[owner] + mix(at.astype(np.uint64) + U64((rank + 1) << 40))), 1)
+        values = _gumbel_below(mass, tops[owner], u)
+        for d in start:
+            lo, hi = bounds[d], bounds[d + 1]
+            texts[d].offer(len(texts[d].paths) - 1, at[lo:hi], values[lo:hi], mass[lo:hi], most)
 
     def leave(self, text: _Text, d: int, rank: int):
         """Where the next path of a text leaves an earlier one; None when every segmentation is taken."""
@@ -219,43 +224,23 @@ class _Walk:
         others = [e for e in free if e != chosen]
         if others:
             # The siblings that are left, as a set, stay below the value just taken.
-            before = float(self.log_share[edges[:at]].sum())
+            before = float(self.log_share(edges[:at]).sum())
             left = before + float(np.log(max(self.lattice.share[others].sum(), 1e-300)))
             u = uniform(mix(key), 3)
             heapq.heappush(text.heap, (-float(_gumbel_below(np.array([left]), value, u)[0]), path, at, left))
         parent = np.append(edges[:at], chosen)
         # The string of the text in which the path leaves: strings end where targets are last nodes.
-        done = int(np.count_nonzero(self._is_last(self.lattice.target[edges[:at]])))
+        done = int(np.count_nonzero(self.lattice.is_last(self.lattice.target[edges[:at]])))
         return value, parent, int(self.strings.first[d]) + done, int(self.lattice.target[chosen])
 
-    def _is_last(self, nodes: np.ndarray) -> np.ndarray:
-        return nodes == self.lattice.start[self.string_of[nodes] + 1] - 1
-
-    def byte_edges(self, vocabulary: Pieces):
-        """A function from edges to ids, with a character without a piece as the ids of its bytes."""
-        lattice = self.lattice
-        piece = lattice.piece.copy()
-        bare = np.flatnonzero(piece < 0)
-        origin = lattice.origin[bare]
-        single = lattice.target[bare] - origin == 1
-        piece[bare[single]] = vocabulary.fallback[lattice.text[origin[single]]]
-        bare, origin = bare[~single], origin[~single]
-        spelled = {int(e): self.spell(int(o), int(lattice.target[e])) for e, o in zip(bare, origin)}
-
-        def ids(edges: np.ndarray) -> np.ndarray:
-            out = piece[edges]
-            holes = np.flatnonzero(out < 0)
-            if not len(holes):
-                return out
-            size = np.ones(len(out), np.int64)
-            size[holes] = [len(spelled[int(e)]) for e in edges[holes]]
-            ends = np.cumsum(size)
-            wide = np.repeat(out, size)
-            for h in holes:
-                wide[ends[h] - size[h]:ends[h]] = vocabulary.fallback[np.frombuffer(spelled[int(edges[h])], np.uint8)]
-            return wide
-
-        return ids
-
-    def spell(self, origin: int, target: int) -> bytes:
-        return self.lattice.text[origin:target].tobytes()
+    def ids(self, edges: np.ndarray) -> np.ndarray:
+        """The ids of a path, with a character without a piece as the ids of its bytes."""
+        out = self.lattice.piece[edges]
+        holes = out < 0
+        if not holes.any():
+            return out
+        origin = self.lattice.origin[edges]
+        size = np.where(holes, self.lattice.target[edges] - origin, 1)
+        wide, spelled = np.repeat(out, size), np.repeat(holes, size)
+        wide[spelled] = self.fallback[self.lattice.text[runs(origin, size)[spelled]]]
+        return wide
