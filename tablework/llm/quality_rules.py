@@ -5,8 +5,10 @@ reject a text when a measure of it reaches a cutoff. Cutoffs are tested per
 stratum from the loosest to the tightest: one passes while the exact binomial
 test says that at most ``RISK / rules`` of the good documents lie beyond it.
 The first that fails ends the sequence, so the grid needs no correction; the
-level is divided by the number of rules and strata. So with probability
-1 - ``LEVEL``, no stratum loses more than ``RISK`` of its good documents.
+level is divided by the number of rules and strata. Evidence is one distinct
+text: copies of a text and repeated rows of a document count once. So with
+probability 1 - ``LEVEL``, the rules reject in no stratum more than ``RISK`` of
+the good texts that pass the base rules. What the base rules drop comes on top.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablework.llm.hashing import Block, block_of, cut, mix, span_hashes, window_hashes, word_hashes, words_of
-from tablework.llm.tables import BLOCK_BYTES, stage
+from tablework.llm.tables import BLOCK_BYTES, key_columns, stage
 from tablework.operators.joins import lookup
 
 RISK, LEVEL = 0.05, 0.05
@@ -57,16 +59,22 @@ def text_measures(docs: DataFrame) -> DataFrame:
     holds twice or more; ``n_dup_lines`` counts lines with a word that equal an
     earlier line.
     """
+    return _measured(docs).drop("key_a", "key_b")
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """``text_measures`` with two hashes that together name the text."""
     def measure(batches):
         for batch in batches:
             for table in cut(pa.Table.from_batches([batch]), "text", BLOCK_BYTES):
                 counts = [pa.array(c.astype(np.int64)) for c in _counts(table.column("text"))]
-                yield from pa.Table.from_arrays(
-                    [table.column("doc_id").combine_chunks(), table.column("stratum").combine_chunks(), *counts],
-                    names=["doc_id", "stratum", *_MEASURES]).to_batches()
+                kept = [table.column(c).combine_chunks() for c in named]
+                yield from pa.Table.from_arrays([*kept, *counts], names=[*named, *_MEASURES]).to_batches()
 
-    return docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"), "text").mapInArrow(
-        measure, "doc_id bigint, stratum string, " + ", ".join(f"{m} bigint" for m in _MEASURES))
+    named = ["doc_id", "stratum", "key_a", "key_b"]
+    return docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"),
+                       *key_columns("text"), "text").mapInArrow(
+        measure, "doc_id bigint, stratum string, key_a bigint, key_b bigint, " + ", ".join(f"{m} bigint" for m in _MEASURES))
 
 
 def _totals(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -149,17 +157,24 @@ def base_failed() -> Column:
 def fit_cutoffs(measures: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """(stratum, rule, cutoff) for the rules that may reject in a stratum.
 
-    All labelled documents that pass the base rules take part; a document is
-    good when a label row of it says quality 1, bad when one says 0 and none
-    says 1. Null ids and null qualities are no labels.
+    ``measures`` need the text's hashes. All labelled documents that pass the
+    base rules take part; a document is good when a label row of it says
+    quality 1, bad when one says 0 and none says 1. Null ids and null
+    qualities are no labels. A doc_id with several texts stands for the one of
+    the smallest hash; a text of several documents counts once in a stratum,
+    good when one of them is.
     """
     rules = _rules()
     truth = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.max("quality").alias("quality"))
-    pairs = [F.struct(F.lit(name).alias("rule"), place.alias("place")) for name, place in rules.items()]
-    histogram = stage(measures.where(~base_failed()).select("doc_id", "stratum", F.array(*pairs).alias("rules")).join(
-        truth, "doc_id").select("stratum", F.col("quality") == 1, F.explode("rules").alias("r")).toDF(
-        "stratum", "good", "r").groupBy("stratum", "r.rule", "r.place").agg(
+    pairs = F.array(*[F.struct(F.lit(name).alias("rule"), place.alias("place")) for name, place in rules.items()])
+    once = measures.where(~base_failed()).select(
+        "doc_id", F.struct("key_a", "key_b", "stratum", pairs.alias("rules")).alias("m")).join(truth, "doc_id").groupBy(
+        "doc_id").agg(F.min("m").alias("m"), F.max("quality").alias("quality"))
+    texts = once.groupBy("m.stratum", "m.key_a", "m.key_b").agg(
+        F.max(F.col("quality") == 1).alias("good"), F.min("m.rules").alias("rules"))
+    histogram = stage(texts.select("stratum", "good", F.explode("rules").alias("r")).groupBy(
+        "stratum", "r.rule", "r.place").agg(
         F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")), "histogram")
     strata = max(1, histogram.select("stratum").distinct().count())
     share, chance = risk / len(rules), level / (len(rules) * strata)
@@ -179,7 +194,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     the base rules. Without labels only the base rules reject. Repeated rows
     get one row each; other columns are not looked at.
     """
-    measures = stage(text_measures(docs), "measures")
+    measures = stage(_measured(docs), "measures")
     cutoffs = stage(fit_cutoffs(measures, labels, risk, level).groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")), "cutoffs")
     if cutoffs.count() <= BROADCAST_STRATA:
