@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablework.llm.hashing import block_of, cut, word_hashes, words_of
+from tablework.llm.hashing import block_of, cut, runs, word_hashes, words_of
 from tablework.llm.huffman import Code, code_lengths
 from tablework.llm.tables import BLOCK_BYTES, parts, stage, text_bytes
 
@@ -25,7 +25,7 @@ MAX_VOCABULARY = 1 << 20
 #: Words that an encoder remembers from block to block, about 50 bytes each.
 _CACHE_WORDS = 1_000_000
 _ROWS = 2048
-_DOCUMENTS = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, payload binary, offsets array<int>"
+_DOCUMENTS = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, payload binary, offsets array<bigint>"
 
 
 class WordEncoder:
@@ -67,7 +67,7 @@ class WordEncoder:
         """Keep the half of the memory that most blocks had use for."""
         keep = np.sort(np.argsort(self.blocks, kind="stable")[-(_CACHE_WORDS // 2):])
         self.hashes, self.blocks = self.hashes[keep], self.blocks[keep]
-        self.ids = self.ids[_runs(self.begin[keep], self.size[keep])]
+        self.ids = self.ids[runs(self.begin[keep], self.size[keep])]
         self.size = self.size[keep]
         self.begin = np.cumsum(self.size) - self.size
 
@@ -83,18 +83,12 @@ class WordEncoder:
         self.blocks[at] += 1
         at = at[kind]
         size = self.size[at]
-        out = self.ids[_runs(self.begin[at], size)]
+        out = self.ids[runs(self.begin[at], size)]
         if len(self.hashes) > _CACHE_WORDS:
             self._forget()
         return out, np.concatenate([[0], np.cumsum(size)])[words.first]
 
 
-def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The places ``begin[i]`` to ``begin[i] + size[i]`` of all i in a row."""
-    ends = np.cumsum(size)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
-
-
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -160,7 +154,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                 payload, offsets = code.encode(_ids_of(rows), np.concatenate([[0], np.cumsum(sizes)]))
                 yield pa.record_batch([
                     rows.column("doc_id"), rows.column("n_tokens"), pa.array(payload, pa.binary()),
-                    pa.array([o.astype(np.int32) for o in offsets], pa.list_(pa.int32()))],
+                    pa.array([o.astype(np.int64) for o in offsets], pa.list_(pa.int64()))],
                     names=["doc_id", "n_tokens", "payload", "offsets"])
 
     def number(batches):
@@ -174,7 +168,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
             yield pa.record_batch(columns, names=["doc_id", "part", "start_in_part", "n_tokens", "payload", "offsets"])
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("payload")]
-    coded = encoded.mapInArrow(shorten, "doc_id bigint, n_tokens bigint, payload binary, offsets array<int>")
+    coded = encoded.mapInArrow(shorten, "doc_id bigint, n_tokens bigint, payload binary, offsets array<bigint>")
     ranged = coded.repartitionByRange(parts(spark, size), *order).sortWithinPartitions(*order)
     ranged.select("doc_id", F.spark_partition_id().alias("part"), "n_tokens", "payload", "offsets").mapInArrow(
         number, _DOCUMENTS).write.option("compression", "none").parquet(f"{path}/documents")
@@ -184,8 +178,8 @@ def _ids_of(batch) -> np.ndarray:
     """The ids of staged rows, two or four bytes each."""
     sizes = batch.column("n_tokens").to_pylist()
     blobs = [x.as_buffer() for x in batch.column("ids")]
-    runs = [np.frombuffer(b, f"<u{len(b) // n}").astype(np.int64) for b, n in zip(blobs, sizes)]
-    return np.concatenate(runs) if runs else np.zeros(0, np.int64)
+    found = [np.frombuffer(b, f"<u{len(b) // n}").astype(np.int64) for b, n in zip(blobs, sizes)]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def _slices(batch):
