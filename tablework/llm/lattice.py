@@ -9,6 +9,7 @@ its edges.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,9 @@ FLAT = 50.0
 #: Nodes of the strings whose lattices are built together.
 _GROUP = 1 << 15
 #: Edges that a worker remembers from block to block, about 30 bytes each.
-_MEMORY_EDGES = 5_000_000
+_MEMORY_EDGES = 4_000_000
+#: Edges that fit into a memory's arrays from the start, with those of one block.
+_ROOM = 5_000_000
 
 
 def _ladder(base: np.uint64, n: int) -> np.ndarray:
@@ -148,21 +151,20 @@ class Lattice:
 
     @classmethod
     def build(cls, pieces: Pieces, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> Lattice:
-        """Lattices of the given byte spans, built by groups of strings so that working arrays stay small."""
-        group = np.cumsum(stops - starts + 1) // _GROUP
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
-        return cls.joined([cls._group(pieces, data, starts[a:b], stops[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+        """Lattices of the given byte spans."""
+        out = _Growing()
+        for part in cls.groups(pieces, data, starts, stops):
+            out.add(part)
+        return out.lattice
 
     @classmethod
-    def joined(cls, parts: list[Lattice]) -> Lattice:
-        nodes = np.cumsum([0] + [len(p.text) for p in parts])
-        edges = np.cumsum([0] + [len(p.origin) for p in parts])
-        return cls(np.concatenate([p.start[:-1] + n for p, n in zip(parts, nodes)] + [nodes[-1:]]),
-                   np.concatenate([p.text for p in parts]),
-                   np.concatenate([p.first[:-1] + e for p, e in zip(parts, edges)] + [edges[-1:]]),
-                   np.concatenate([p.origin + np.int32(n) for p, n in zip(parts, nodes)]),
-                   np.concatenate([p.target + np.int32(n) for p, n in zip(parts, nodes)]),
-                   *[np.concatenate([getattr(p, f) for p in parts]) for f in ("piece", "share", "upto")])
+    def groups(cls, pieces: Pieces, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> Iterator[Lattice]:
+        """The same by groups of strings, so that working arrays stay small."""
+        group = np.cumsum(stops - starts + 1) // _GROUP
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a < b:
+                yield cls._group(pieces, data, starts[a:b], stops[a:b])
 
     def only(self, strings: np.ndarray) -> Lattice:
         """The lattices of these strings, in their order."""
@@ -287,12 +289,65 @@ class Lattice:
         return out, first
 
 
+class _Growing:
+    """A lattice that grows in place: adding to it copies what is added, and beyond its room one array at a time.
+
+    Room that is not yet written to takes no memory.
+    """
+
+    def __init__(self, edges: int = 0):
+        types = {f: np.int64 if f in ("start", "first") else np.uint8 if f == "text" else
+                 np.float64 if f in ("share", "upto") else np.int32 for f in Lattice.__dataclass_fields__}
+        self.room = {f: np.empty(edges + 1, t) for f, t in types.items()}
+        self.clear()
+
+    def clear(self) -> None:
+        self.room["start"][0] = self.room["first"][0] = 0
+        self.strings = self.nodes = self.edges = 0
+
+    @property
+    def lattice(self) -> Lattice:
+        """What is there now; valid until the next change."""
+        used = {"start": self.strings + 1, "text": self.nodes, "first": self.nodes + 1}
+        return Lattice(**{f: a[:used.get(f, self.edges)] for f, a in self.room.items()})
+
+    def add(self, part: Lattice) -> None:
+        self._put("start", self.strings, part.start, self.nodes)
+        self._put("text", self.nodes, part.text)
+        self._put("first", self.nodes, part.first, self.edges)
+        for name in ("origin", "target"):
+            self._put(name, self.edges, getattr(part, name), self.nodes)
+        for name in ("piece", "share", "upto"):
+            self._put(name, self.edges, getattr(part, name))
+        self.strings += len(part.start) - 1
+        self.nodes += len(part.text)
+        self.edges += len(part.origin)
+
+    def _put(self, name: str, at: int, values: np.ndarray, shift: int = 0) -> None:
+        room, end = self.room[name], at + len(values)
+        if end > len(room):
+            self.room[name] = np.empty(end + end // 4, room.dtype)
+            self.room[name][:at] = room[:at]
+            room = self.room[name]
+        np.add(values, shift, out=room[at:end], casting="unsafe") if shift else np.copyto(room[at:end], values)
+
+    def keep(self, strings: np.ndarray) -> None:
+        """Only these strings stay; they ascend, so each moves to where nothing that is still to be moved lies."""
+        old = self.lattice
+        parts = np.split(strings, np.flatnonzero(np.diff(old.start[strings] // _GROUP)) + 1)
+        self.clear()
+        for part in parts:
+            if len(part):
+                self.add(old.only(part))
+
+
 class Memory:
     """The lattices of strings that a worker has met; those that most blocks had use for stay longest."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.lattice = Lattice.build(pieces, np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.growing = _Growing(_ROOM)
+        self.lattice = self.growing.lattice
         self.hashes, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.blocks = np.zeros(0, np.int64)
 
@@ -313,7 +368,9 @@ class Memory:
         new = np.flatnonzero(out < 0)
         if len(new):
             out[new] = len(self.blocks) + np.arange(len(new))
-            self.lattice = Lattice.joined([self.lattice, Lattice.build(self.pieces, data, starts[new], stops[new])])
+            for part in Lattice.groups(self.pieces, data, starts[new], stops[new]):
+                self.growing.add(part)
+            self.lattice = self.growing.lattice
             self.blocks = np.append(self.blocks, np.zeros(len(new), np.int64))
             fresh = new[~listed[new]]
             self.hashes = np.insert(self.hashes, at[fresh], hashes[fresh])
@@ -338,7 +395,8 @@ class Memory:
         keep = keep[np.isin(keep, self.place)]
         number = np.full(len(self.blocks), -1)
         number[keep] = np.arange(len(keep))
-        self.lattice, self.blocks = self.lattice.only(keep), self.blocks[keep]
+        self.growing.keep(keep)
+        self.lattice, self.blocks = self.growing.lattice, self.blocks[keep]
         stay = number[self.place] >= 0
         self.hashes, self.place = self.hashes[stay], number[self.place[stay]]
 

@@ -22,7 +22,7 @@ from tablework.llm.lattice import Lattice, Memory, Pieces, memory, pieces, split
 from tablework.llm.tables import key_columns
 
 SAMPLES = 2
-_BLOCK = 5 << 18
+_BLOCK = 5 << 17
 _SCHEMA = "doc_id bigint, rank int, ids binary, n_tokens bigint, log_prob double, perturbed double, inclusion double"
 _NAMES = ["doc_id", "rank", "ids", "n_tokens", "log_prob", "perturbed", "inclusion"]
 U64 = np.uint64

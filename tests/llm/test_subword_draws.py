@@ -2,12 +2,14 @@
 
 import collections
 import math
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
 from tablework.llm import lattice
+from tablework.llm.hashing import span_hashes
 from tablework.llm.lattice import Lattice, Memory, pieces
 from tablework.llm.subword_samples import _sample_block
 
@@ -79,3 +81,32 @@ def test_equal_hashes_of_unequal_strings_do_no_harm():
         place = int(known.places(hashes, data, np.array([a]), np.array([b]))[0])
         begin = known.lattice.start[place]
         assert known.lattice.text[begin:begin + b - a].tobytes() == data[a:b].tobytes()
+
+
+def test_a_memory_takes_new_strings_without_a_copy_of_the_old(monkeypatch):
+    def places(known, words):
+        data = np.frombuffer("".join(words).encode(), np.uint8)
+        stops = np.cumsum([len(w) for w in words])
+        starts = stops - [len(w) for w in words]
+        hashes, once = np.unique(span_hashes(data, starts, stops - starts), return_index=True)
+        return known.places(hashes, data, starts[once], stops[once])
+
+    known = lattice.Memory(pieces(MODEL))
+    places(known, [f" word{i:06d}" for i in range(60_000)])
+    held = sum(getattr(known.lattice, f).nbytes for f in known.lattice.__dataclass_fields__)
+    tracemalloc.start()
+    try:
+        places(known, [f" other{i}" for i in range(100)])
+        assert tracemalloc.get_traced_memory()[1] < held / 2
+        # Half of the strings go: the rest moves up in place, and is what it was.
+        monkeypatch.setattr(lattice, "_MEMORY_EDGES", len(known.lattice.origin) - 1)
+        before, blocks = known.lattice.only(np.arange(5)), len(known.blocks)
+        tracemalloc.reset_peak()
+        start = tracemalloc.get_traced_memory()[0]
+        known._forget()
+        assert tracemalloc.get_traced_memory()[1] - start < held / 2
+    finally:
+        tracemalloc.stop()
+    assert 100 < len(known.blocks) < 0.6 * blocks
+    for field in before.__dataclass_fields__:
+        assert (getattr(known.lattice.only(np.arange(5)), field) == getattr(before, field)).all()
