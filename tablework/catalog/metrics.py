@@ -21,8 +21,8 @@ SALES_USER = {"department": "sales"}
 
 def frames(spark, sf_dir, as_of):
     tables = {name: partial(build, spark, sf_dir) for name, build in {
-        "order_items": retail.order_items, "products": retail.products, "users": retail.users,
-        "inventory_items": retail.inventory_items, "events": retail.web_events,
+        "order_items": partial(retail.order_items, with_key=True), "products": retail.products, "users": retail.users,
+        "inventory_items": partial(retail.inventory_items, with_key=True), "events": retail.web_events,
         "distribution_centers": retail.distribution_centers}.items()}
     tables["orders"] = partial(retail.orders, spark, sf_dir)
     return retail_frames(tables, as_of)

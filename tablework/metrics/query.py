@@ -156,7 +156,10 @@ class TopicQuery:
         """The view's rows with everything needed below it joined on."""
         source = self.source(view)
         df = source.select(*[F.col(c).alias(_source(view, c)) for c in source.columns])
-        for child, hop in self.hops.items():
+        # A joined view's measures ask only whether it has a key: one bit moves on, not the key.
+        df = df.withColumn(_source(view, "_present"), self.key(view).isNotNull())
+        # A one-to-one view has the widest key, one per row: joined first, its key does not move in the joins after it.
+        for child, hop in sorted(self.hops.items(), key=lambda item: item[1].grain != "one_to_one"):
             if hop.parent != view or child not in needed:
                 continue
             below = self.rows(child, needed, owner)
@@ -193,7 +196,7 @@ class TopicQuery:
     def condition(self, name: str) -> Column:
         """Rows the measure counts: its filters hold and its view matched."""
         measure, view = self.model.field_of(name), _view_of(name)
-        holds = F.lit(True) if view == self.topic.base else self.key(view).isNotNull()
+        holds = F.lit(True) if view == self.topic.base else F.col(_source(view, "_present"))
         for f in measure.filters:
             holds = holds & f.predicate(self.column(f"{view}.{f.field}"), self.as_of)
         return holds

@@ -84,45 +84,54 @@ def orders(spark: SparkSession, sf_dir: str, with_item_count: bool = False) -> D
     return df
 
 
+_LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+         "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
+
+
+def _line_key() -> Column:
+    """The digest of ``_line_id`` as two numbers: half as wide in a shuffle."""
+    return F.struct(F.xxhash64(*_LINE).alias("high"), F.xxhash64(F.lit(1), *_LINE).alias("low"))
+
+
 def _line_id() -> Column:
     """A 128-bit digest of the whole line: lines have no unique key, but no two are equal.
 
     It is a narrow expression, where numbering the lines of an order would pull
     each order into one task.
     """
-    line = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-            "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
-    return F.concat(F.hex(F.xxhash64(*line)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *line)))
+    return F.concat(F.hex(F.xxhash64(*_LINE)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *_LINE)))
 
 
 def _sale_price() -> Column:
     return F.col("l_extendedprice").cast("decimal(12,2)")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line columns alone, for work that needs nothing from the order."""
+def order_lines(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
+    """The line columns alone, for work that needs nothing from the order. ``line_key`` names a line as its id does."""
+    key = [_line_key().alias("line_key")] if with_key else []
     return (table(spark, sf_dir, "lineitem")
             .select(_line_id().alias("id"), F.col("l_orderkey").alias("order_id"),
                     F.col("l_partkey").alias("product_id"), _line_id().alias("inventory_item_id"),
-                    _sale_price().alias("sale_price")))
+                    _sale_price().alias("sale_price"), *key))
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """One row per line, with the status and milestones of its order."""
     headers = orders(spark, sf_dir).drop("gender")
-    return order_lines(spark, sf_dir).join(headers, "order_id").select(
+    return order_lines(spark, sf_dir, with_key).join(headers, "order_id").select(
         "id", "order_id", "user_id", "product_id", "inventory_item_id", "status",
-        "created_at", "shipped_at", "delivered_at", "returned_at", "sale_price")
+        "created_at", "shipped_at", "delivered_at", "returned_at", "sale_price", *(["line_key"] if with_key else []))
 
 
-def inventory_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory_items(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """One physical unit per line; it is in stock until its line is filled."""
+    key = [_line_key().alias("line_key")] if with_key else []
     return (table(spark, sf_dir, "lineitem")
             .select(_line_id().alias("id"), F.col("l_partkey").alias("product_id"),
                     (F.col("l_partkey") % 100).alias("product_distribution_center_id"),
                     F.round(_sale_price() * F.lit(0.6).cast("decimal(2,1)"), 2).cast("decimal(12,2)").alias("cost"),
                     plus(F.col("l_shipdate"), "DAY", -(F.col("l_partkey") % 200)).alias("created_at"),
-                    F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("sold_at")))
+                    F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("sold_at"), *key))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -164,3 +164,17 @@ def test_a_filter_on_a_measure_tests_the_groups(ask):
 def test_excluded_and_foreign_fields_are_no_filters(ask, name):
     with pytest.raises(UnknownField):
         ask("orders", "order_items.net_revenue", filters=[Filter(name, "is", "x")])
+
+
+def test_the_key_of_a_line_moves_narrow_and_only_to_its_unit(spark, ask):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ask("orders", "users.gender order_items.net_revenue inventory_items.total_cost_of_sold"
+                   )._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    units = next(i for i, line in enumerate(joins) if "inventory_items__" in line)
+    users = next(i for i, line in enumerate(joins) if "users__id" in line)
+    assert users < units  # written from the last join to the first
+    assert "line_key" in joins[units] and not any("line_key" in line for line in joins[:units])
