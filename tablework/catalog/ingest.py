@@ -21,12 +21,14 @@ def drop_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the two exports of each table as CSV files; returns the drop folder.
 
     The rows are spread first, so that a drop is several files, as a real one is.
+    They are dealt by their place: dealing them in turn would sort each task's rows in memory.
     """
     root = work_path(spark, "drop")
     n_files = spark.sparkContext.defaultParallelism
     for table, rows in (("deals", crm_drops.raw_deals(spark, sf_dir)),
                         ("companies", crm_drops.raw_companies(spark, sf_dir))):
-        (rows.select(*csv_drop.EXPECTED_COLUMNS[table]).repartition(n_files).write.option("header", True).option("escape", '"')
+        (rows.select(*csv_drop.EXPECTED_COLUMNS[table], F.monotonically_increasing_id().alias("_place"))
+         .repartition(n_files, "_place").drop("_place").write.option("header", True).option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .csv(f"{root}/incoming/{table}"))
     return root

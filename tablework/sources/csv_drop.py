@@ -142,5 +142,6 @@ def csv_drop(spark: SparkSession, paths: Sequence[str], table: str) -> DataFrame
     parsed.write.parquet(staged)
     rows = spark.read.schema(parsed.schema).parquet(staged)
     good = file_verdicts(rows, table).filter(F.col("status") == "loaded").select("path", "_header_line")
-    return rows.join(good, "path").filter(F.col("_line") != F.col("_header_line")).select(
+    # One row per file of a bounded batch: no task sorts all the rows of a file to join them.
+    return rows.join(F.broadcast(good), "path").filter(F.col("_line") != F.col("_header_line")).select(
         *columns, F.col("path").alias("_source_file"))

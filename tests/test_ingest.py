@@ -163,3 +163,17 @@ def test_stream_loads_new_files_only(spark, tmp_path):
     drop(root, "b.csv", HEADER + "\n" + row("C2") + "\n")
     assert run() == 2
     assert ingest.read_load_log(spark, warehouse).count() == 3
+
+
+def test_no_task_sorts_the_rows_of_a_file(spark, tmp_path):
+    for name in ("a.csv", "b.csv"):
+        drop(tmp_path, name, "\n".join([HEADER, *(row(f"{name}{i}") for i in range(50))]) + "\n")
+    drop(tmp_path, "bad.csv", "wrong\n1\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = csv_drop.csv_drop(spark, [f"{tmp_path}/incoming/companies"], "companies")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
