@@ -27,13 +27,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language is not recognised go. The recogniser learns from the labelled three quarters of ``docs``."""
-    with_workers(spark)
+    with_workers(spark, lean=True)
     return keep_identified(docs, fit(docs.where(~held_out())))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of two or more lines that stand earlier go from the texts; documents that lose all their words to it go whole."""
-    with_workers(spark)
+    with_workers(spark, lean=True)
     out = remove_repeated_runs(docs)
     whole = (F.col("n_removed") == 0) | F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]"))
     changed = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
@@ -42,19 +42,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    with_workers(spark)
+    with_workers(spark, lean=True)
     return keep_one_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    with_workers(spark)
+    with_workers(spark, lean=True)
     return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def subwords(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of what is left, as token ids."""
-    with_workers(spark)
+    with_workers(spark, lean=True)
     return encode_samples(docs, public_tokenizers.path(MODEL))
 
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Hashes of one range that are sorted at once.
+_AT_ONCE = 1 << 18
 BLOB_SCHEMA = "bucket int, chunk int, hashes binary, counts binary"
 _BLOB_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("hashes", pa.binary()),
                          ("counts", pa.binary())])
@@ -68,22 +70,43 @@ def count_buckets(blobs: DataFrame) -> DataFrame:
     """(chunk, bucket, answer): bit lengths of the total counts, in the order of the block's sorted hashes."""
     def total(key, table):
         lists = [unpack_sorted(x.as_py()) for x in table.column("hashes")]
-        local = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")])
-        every = np.concatenate(lists)
+        local = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("counts")]
+        return pa.table([
+            table.column("chunk").combine_chunks(), pa.array(np.full(len(lists), key[0].as_py(), np.int32)),
+            pa.array([x.tobytes() for x in total_lengths(lists, local)], pa.binary()),
+        ], schema=_ANSWER_ARROW)
+
+    return blobs.groupBy("bucket").applyInArrow(total, "chunk int, bucket int, answer binary")
+
+
+def total_lengths(lists: list[np.ndarray], local: list[np.ndarray]) -> list[np.ndarray]:
+    """For each of the ascending lists, the bit lengths of its hashes' counts over all lists.
+
+    Cut at values of the longest list, so that what is sorted at once stays
+    small; equal hashes are in the same slice.
+    """
+    longest = max(lists, key=len)
+    slices = -(-sum(len(x) for x in lists) // _AT_ONCE)
+    edges = np.unique(longest[np.arange(1, slices) * len(longest) // slices])
+    bounds = [np.concatenate([[0], np.searchsorted(x, edges), [len(x)]]) for x in lists]
+    answers = [np.empty(len(x), np.uint8) for x in lists]
+    for k in range(len(edges) + 1):
+        spans = [slice(at[k], at[k + 1]) for at in bounds]
+        every = np.concatenate([x[s] for x, s in zip(lists, spans)])
+        if not len(every):
+            continue
         order = np.argsort(every, kind="stable")
         ordered = every[order]
         new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-        sums = np.add.reduceat(local[order].astype(np.int64), np.flatnonzero(new))
+        counts = np.concatenate([x[s] for x, s in zip(local, spans)])
+        sums = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(new))
         length = np.frexp(sums.astype(np.float64))[1].astype(np.uint8)
         answer = np.empty(len(every), np.uint8)
         answer[order] = length[np.cumsum(new) - 1]
-        ends = np.cumsum([len(x) for x in lists])
-        return pa.table([
-            table.column("chunk").combine_chunks(), pa.array(np.full(len(lists), key[0].as_py(), np.int32)),
-            pa.array([answer[e - len(x):e].tobytes() for e, x in zip(ends, lists)], pa.binary()),
-        ], schema=_ANSWER_ARROW)
-
-    return blobs.groupBy("bucket").applyInArrow(total, "chunk int, bucket int, answer binary")
+        ends = np.cumsum([s.stop - s.start for s in spans])
+        for x, s, end in zip(answers, spans, ends):
+            x[s] = answer[end - (s.stop - s.start):end]
+    return answers
 
 
 def read_answers(answers: pa.Table, hashes: np.ndarray) -> np.ndarray:

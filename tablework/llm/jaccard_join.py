@@ -28,6 +28,8 @@ SHINGLE, PERCENT = 5, 75
 PAIR_BLOCK = 2048
 #: Bytes of text whose shingles a task holds at once.
 _CHUNK = BLOCK_BYTES // 2
+#: Bytes of text whose words are hashed at once; the arrays on the way take many times that.
+_SLICE = BLOCK_BYTES // 8
 _SUMMARY = ("chunk int, doc_id bigint, key_a bigint, key_b bigint, n bigint, set_a bigint, set_b bigint")
 _RECORD = ("node string, n bigint, alone bigint, prefix_a bigint, prefix_b bigint, firsts array<bigint>, "
            "shared binary")
@@ -45,6 +47,15 @@ def shingles(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     A text of fewer words than ``size``, but not none, has its whole word
     sequence as its one shingle.
     """
+    found, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for table in cut(pa.table([texts], names=["text"]), "text", _SLICE):
+        hashes, first = _shingles_at_once(table.column("text"), size)
+        found.append(hashes)
+        counts.append(np.diff(first))
+    return np.concatenate(found), np.cumsum(np.concatenate(counts))
+
+
+def _shingles_at_once(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     block = lowered(block_of(texts))
     words = words_of(block)
     hashes = word_hashes(block, words)

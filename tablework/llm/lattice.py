@@ -24,7 +24,7 @@ SPACE = "▁"
 FLAT = 50.0
 #: Nodes of the strings whose lattices are built together.
 _GROUP = 1 << 15
-#: Edges that a worker remembers from block to block, about 30 bytes each.
+#: Edges that a task remembers from block to block, about 30 bytes each.
 _MEMORY_EDGES = 4_000_000
 #: Edges that fit into a memory's arrays from the start, with those of one block.
 _ROOM = 5_000_000
@@ -342,7 +342,7 @@ class _Growing:
 
 
 class Memory:
-    """The lattices of strings that a worker has met; those that most blocks had use for stay longest."""
+    """The lattices of strings that a task has met; those that most blocks had use for stay longest."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
@@ -408,7 +408,6 @@ def uniform(seeds: np.ndarray, step: int) -> np.ndarray:
 
 
 _PIECES: dict[str, Pieces] = {}
-_MEMORIES: dict[str, Memory] = {}
 
 
 def pieces(path: str) -> Pieces:
@@ -416,10 +415,3 @@ def pieces(path: str) -> Pieces:
     if path not in _PIECES:
         _PIECES[path] = Pieces(os.fspath(path))
     return _PIECES[path]
-
-
-def memory(path: str) -> Memory:
-    """One memory per worker process."""
-    if path not in _MEMORIES:
-        _MEMORIES[path] = Memory(pieces(path))
-    return _MEMORIES[path]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.llm.hashing import Spans, block_of, cut, mix, runs, span_hashes
-from tablework.llm.lattice import Lattice, Memory, Pieces, memory, pieces, split, uniform
+from tablework.llm.lattice import Lattice, Memory, Pieces, pieces, split, uniform
 from tablework.llm.tables import key_columns
 
 SAMPLES = 2
@@ -42,7 +42,8 @@ def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES, decoded:
     Other columns are not looked at.
     """
     def sample(batches):
-        vocabulary, known = pieces(model), memory(model)
+        # What is remembered goes with the task: the worker may serve other operators next.
+        vocabulary, known = pieces(model), Memory(pieces(model))
         for batch in batches:
             for table in cut(pa.Table.from_batches([batch]), "text", _BLOCK):
                 rows = _sample_block(known, table, samples)
