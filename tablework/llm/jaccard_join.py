@@ -13,6 +13,8 @@ lost, and a cluster of near copies does not cost all its pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +28,8 @@ from tablework.operators.joins import lookup
 
 SHINGLE, PERCENT = 5, 75
 PAIR_BLOCK = 2048
+#: Pairs that leave a task at once, and those of one more member.
+_PAIRS_AT_ONCE = 1 << 16
 #: Bytes of text whose shingles a task holds at once.
 _CHUNK = BLOCK_BYTES // 2
 #: Bytes of text whose words are hashed at once; the arrays on the way take many times that.
@@ -246,7 +250,7 @@ def _apart_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """(a, b): members of one list in different components that sizes and positions do not rule out.
 
     A list is cut into blocks, and each pair of blocks is one group, so no
-    task holds a long list; only pairs that pass leave the task.
+    task holds a long list; only pairs that pass leave the task, some at a time.
     """
     blocks = F.ceil(F.col("held") / PAIR_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -254,23 +258,26 @@ def _apart_pairs(lists: DataFrame, percent: int) -> DataFrame:
         "token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own",
         "node", "label", "n", "position")
 
-    def pair(key, table):
+    def pair(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         lo, hi = key[1].as_py(), key[2].as_py()
         own = table.column("own").to_numpy()
         n, at = table.column("n").to_numpy(), table.column("position").to_numpy()
         label = table.column("label").combine_chunks().dictionary_encode()
         label = label.indices.to_numpy()
         left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-        a, b = [], []
-        for i in left:
+        node = table.column("node").combine_chunks()
+        a, b, held = [], [], 0
+        for place, i in enumerate(left, 1):
             j = right[right > i] if lo == hi else right
             common = np.minimum(n[i] - at[i], n[j] - at[j])
             j = j[(label[i] != label[j]) & (100 * common >= percent * (n[i] + n[j] - common))]
             a.append(np.full(len(j), i))
             b.append(j)
-        node = table.column("node").combine_chunks()
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table([node.take(pa.array(a)), node.take(pa.array(b))], names=["a", "b"])
+            held += len(j)
+            if held >= _PAIRS_AT_ONCE or held and place == len(left):
+                yield pa.record_batch([node.take(pa.array(np.concatenate(x))) for x in (a, b)], names=["a", "b"])
+                a, b, held = [], [], 0
 
     pairs = dealt.groupBy("token", "lo", "hi").applyInArrow(pair, "a string, b string")
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

@@ -44,6 +44,12 @@ def test_shingles_of_a_block_are_made_in_slices(monkeypatch):
 class _Total:
     """Takes the place of a DataFrame and keeps the function that would run on each of its groups."""
 
+    def withColumn(self, *columns):
+        return self
+
+    def select(self, *columns):
+        return self
+
     def groupBy(self, *columns):
         return self
 
@@ -72,6 +78,36 @@ def test_a_range_is_counted_in_little_memory():
     assert most < 25 * 1_600_000
 
 
+def test_pairs_of_two_blocks_leave_some_at_a_time(spark, monkeypatch):
+    def lists(held):
+        label = [f"l{i % 300}" for i in range(held)]
+        n = [20 + i % 9 for i in range(held)]
+        return [(7, held, f"n{i:05d}", label[i], n[i], i % 4) for i in range(held)]
+
+    def possible(x, y):
+        common = min(x[4] - x[5], y[4] - y[5])
+        return x[3] != y[3] and 100 * common >= 75 * (x[4] + y[4] - common)
+
+    monkeypatch.setattr(jaccard_join, "PAIR_BLOCK", 100)
+    monkeypatch.setattr(jaccard_join, "_PAIRS_AT_ONCE", 500)
+    rows = lists(400)
+    df = spark.createDataFrame(rows, "token long, held long, node string, label string, n long, position long")
+    found = jaccard_join._apart_pairs(df, 75).collect()
+    expected = {(x[2], y[2]) for x in rows for y in rows if x[2] > y[2] and possible(x, y)}
+    assert len(found) == len(expected) and {tuple(r) for r in found} == expected
+
+    taken = []
+    monkeypatch.setattr(_Total, "applyInArrow", lambda self, work, schema: taken.append(work) or self)
+    jaccard_join._apart_pairs(_Total(), 75)
+    rows = lists(600)
+    table = pa.table({"own": pa.array([i % 2 for i in range(600)], pa.int32()), "node": [r[2] for r in rows],
+                      "label": [r[3] for r in rows], "n": [r[4] for r in rows], "position": [r[5] for r in rows]})
+    batches = list(taken[0]((pa.scalar(7), pa.scalar(0), pa.scalar(1)), iter(table.to_batches())))
+    assert len(batches) > 9 and all(b.num_rows < 500 + 300 for b in batches)
+    assert sum(b.num_rows for b in batches) == sum(
+        possible(x, y) for x in rows[0::2] for y in rows[1::2])
+
+
 def test_a_worker_remembers_no_lattices_when_its_task_is_over(spark):
     docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(40)], "doc_id long, text string")
     corpus_pipeline.with_workers(spark)
