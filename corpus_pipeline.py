@@ -55,7 +55,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def subwords(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of what is left, as token ids."""
     with_workers(spark, lean=True)
-    return encode_samples(docs, public_tokenizers.path(MODEL))
+    return encode_samples(docs, public_tokenizers.path(MODEL), remember=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

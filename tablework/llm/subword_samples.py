@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.llm.hashing import Spans, block_of, cut, mix, runs, span_hashes
-from tablework.llm.lattice import Lattice, Memory, Pieces, pieces, split, uniform
+from tablework.llm.lattice import Lattice, Memory, Pieces, memory, pieces, split, uniform
 from tablework.llm.tables import key_columns
 
 SAMPLES = 2
@@ -28,7 +28,8 @@ _NAMES = ["doc_id", "rank", "ids", "n_tokens", "log_prob", "perturbed", "inclusi
 U64 = np.uint64
 
 
-def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES, decoded: bool = False) -> DataFrame:
+def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES, decoded: bool = False,
+                   remember: bool = True) -> DataFrame:
     """Up to ``samples`` distinct segmentations of each whole text, best perturbed value first.
 
     One row per document row and rank: doc_id, rank (from 1), ids
@@ -39,11 +40,12 @@ def encode_samples(docs: DataFrame, model: str, samples: int = SAMPLES, decoded:
     in the same pass. Texts with fewer segmentations give fewer rows; null and empty
     texts give one row without ids. Rows with equal doc_id and text get equal
     samples. ``model`` must be readable under the same name by every executor.
-    Other columns are not looked at.
+    Other columns are not looked at. Lattices are remembered from task to task,
+    or without ``remember`` go with the task: then they are not held while the
+    worker serves other operators.
     """
     def sample(batches):
-        # What is remembered goes with the task: the worker may serve other operators next.
-        vocabulary, known = pieces(model), Memory(pieces(model))
+        vocabulary, known = pieces(model), memory(model) if remember else Memory(pieces(model))
         for batch in batches:
             for table in cut(pa.Table.from_batches([batch]), "text", _BLOCK):
                 rows = _sample_block(known, table, samples)

@@ -5,15 +5,12 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
-import public_tokenizers
 import pytest
 
 import corpus_pipeline
 from tablework.llm import counted, jaccard_join, lattice
 from tablework.llm.counted import count_blobs, count_buckets, read_answers
 from tablework.llm.jaccard_join import shingles
-from tablework.llm.query_subword_samples import MODEL
-from tablework.llm.subword_samples import encode_samples
 
 
 def peak(work):
@@ -108,10 +105,10 @@ def test_pairs_of_two_blocks_leave_some_at_a_time(spark, monkeypatch):
         possible(x, y) for x in rows[0::2] for y in rows[1::2])
 
 
-def test_a_worker_remembers_no_lattices_when_its_task_is_over(spark):
+def test_a_worker_of_the_pipeline_remembers_no_lattices_when_its_task_is_over(spark, monkeypatch):
+    monkeypatch.setitem(spark.sparkContext.environment, "WORKERS_OF", "this test")
     docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(40)], "doc_id long, text string")
-    corpus_pipeline.with_workers(spark)
-    assert encode_samples(docs, public_tokenizers.path(MODEL)).count() == 80
+    assert corpus_pipeline.subwords(spark, docs, "").count() == 80
 
     def held(batches):
         for _ in batches:
